@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import re
 import zlib
 from collections import defaultdict
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -36,15 +38,21 @@ class ByteTokenizer:
     def __init__(self, name: str = "byte_bpe_50k"):
         import public_tokenizers as P
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(P.path(f"{name}.json"))
+        self.path = P.path(f"{name}.json")
+        with open(self.path, encoding="utf-8") as f:
+            special = [t["content"] for t in json.load(f)["added_tokens"]]
         with open(P.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding(name, pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
 
+    @cached_property
+    def exact(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def encode(self, text: str):
         if not self.special.search(text):
             try:
@@ -55,9 +63,15 @@ class ByteTokenizer:
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
+@cache
+def tokenizer(name: str = "byte_bpe_50k") -> ByteTokenizer:
+    """One for each Python worker, whatever number of tasks it runs."""
+    return ByteTokenizer(name)
+
+
 def _cutter(capacity: int, end_id: int):
     def cut(batches):
-        tok, part = ByteTokenizer(), TaskContext.get().partitionId()
+        tok, part = tokenizer(), TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         for b in batches:
             rows = []
