@@ -107,8 +107,8 @@ class Model:
         for code in langs:
             self.members.setdefault(FAMILY.get(code.lower().split("-")[0], code), []).append(code)
         self.families = sorted(self.members)
-        scale = 1 / np.sqrt(x.mean(axis=0) + 1e-5) if len(x) else np.ones(DIM)
-        x = x * scale.astype(np.float32)
+        scale = 1 / np.sqrt(x.mean(axis=0, dtype=np.float64) + 1e-5) if len(x) else np.ones(DIM)
+        x *= scale.astype(np.float32)  # in place: the largest array of the driver
         kernel = (x @ x.T).astype(np.float64) + 1.0
         labels = np.array(labels)
         fam = np.array([FAMILY.get(v.lower().split("-")[0], v) for v in labels])
@@ -116,8 +116,9 @@ class Model:
 
         def fit(on: np.ndarray, plus: np.ndarray):
             y = np.where(plus[on], 1.0, -1.0)
-            a = svm(kernel[np.ix_(on, on)], y)
-            columns.append(np.append((a @ x[on]) * scale, a.sum()))
+            a = np.zeros(len(labels), np.float32)
+            a[on] = svm(kernel if len(on) == len(labels) else kernel[np.ix_(on, on)], y)
+            columns.append(np.append((a @ x) * scale, a.sum()))
 
         everything = np.arange(len(labels))
         if len(self.families) > 1:
@@ -181,9 +182,11 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, lang_col: str = "la
 
     got = picked.mapInArrow(sparse, "lang string, h long, idx binary, val binary").toArrow().sort_by([("lang", "ascending"), ("h", "ascending")])
     x = np.zeros((got.num_rows, DIM), np.float32)
-    for r, (i, v) in enumerate(zip(got["idx"].to_pylist(), got["val"].to_pylist(), strict=True)):
-        x[r, np.frombuffer(i, "<i4")] = np.frombuffer(v, "<f4")
-    return Model(x, got["lang"].to_pylist())
+    for r, (i, v) in enumerate(zip(got["idx"], got["val"], strict=True)):
+        x[r, np.frombuffer(i.as_buffer(), "<i4")] = np.frombuffer(v.as_buffer(), "<f4")
+    labels = got["lang"].to_pylist()
+    del got
+    return Model(x, labels)
 
 
 def _predict(model: Model, col: pa.Array) -> tuple[list[str], list[float]]:
