@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkforge.llm import exact_dedup, language_id, order_minhash, packing, queries, secret_scan
-from linkforge.llm.common import materialise
+from linkforge.llm.common import drop_rows, materialise
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,22 +17,25 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the largest doc_id of each group of equal texts."""
-    found = materialise(exact_dedup.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("d"), F.unhex("text_sha256").alias("sha")), "kept")
-    folded = F.translate(F.coalesce("text", F.lit("")), exact_dedup.UPPER.decode(), exact_dedup.UPPER.lower().decode())
-    # ids that rows of several texts share, or that repeat with one text, need the digest too
-    many = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("d"))
-    simple = docs.join(found.join(many, found.d.eqNullSafe(many.d), "left_anti"), F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
+    found = exact_dedup.exact_dedup(docs).select(F.col("doc_id").alias("d"), "kept", F.unhex("text_sha256").alias("sha"))
+    found = materialise(found, "exact")
+    # ids that several rows have need the digest too
+    many = found.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("d").alias("m"))
     if many.isEmpty():
-        return simple
-    again = docs.join(many, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").withColumn("__sha", F.sha2(folded.cast("binary"), 256))
-    again = again.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.unhex("__sha") == F.col("sha")), "left_semi")
+        return drop_rows(docs, found.where("not kept").select("d"), (F.col("doc_id"), "d"))
+    many = materialise(many, "repeated")
+    simple = drop_rows(docs, found.where("not kept").select("d").dropDuplicates(), (F.col("doc_id"), "d"))
+    simple = drop_rows(simple, many, (F.col("doc_id"), "m"))
+    folded = F.translate(F.coalesce("text", F.lit("")), exact_dedup.UPPER.decode(), exact_dedup.UPPER.lower().decode())
+    again = docs.join(many, F.col("doc_id").eqNullSafe(F.col("m")), "left_semi").withColumn("__sha", F.sha2(folded.cast("binary"), 256))
+    again = again.join(found.where("kept"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.unhex("__sha") == F.col("sha")), "left_semi")
     return simple.unionByName(again.dropDuplicates(["doc_id", "__sha"]).drop("__sha"))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    kept = order_minhash.near_dedup(docs).where("kept").select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("k")), "left_semi")
+    gone = order_minhash.near_dedup(docs).where("not kept").select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
+    return drop_rows(docs, materialise(gone, "dropped"), (F.col("doc_id"), "d"), (F.xxhash64("text"), "k"))
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

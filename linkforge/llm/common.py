@@ -43,6 +43,22 @@ def discard(df: DataFrame | None) -> None:
         p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Rows of ids that may be broadcast; beyond it both sides are shuffled.
+MOST_IDS = 500_000
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, *keys: tuple) -> DataFrame:
+    """The rows of ``docs`` that match none of ``gone``; keys are pairs (expression over docs,
+    column of gone), nulls equal. ``gone`` has been written, so counting it is cheap: while it is
+    small, texts stay where they are, and past ``MOST_IDS`` rows the join is a shuffled one."""
+    on = None
+    for left, right in keys:
+        one = left.eqNullSafe(gone[right])
+        on = one if on is None else on & one
+    small = gone.count() <= MOST_IDS
+    return docs.join(F.broadcast(gone) if small else gone.hint("shuffle_merge"), on, "left_anti")
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -178,15 +194,68 @@ def union_forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return up
 
 
+#: Links that one task may take (16 bytes each); more go through distributed rounds.
+FEW_LINKS = 2_000_000
+#: Links that a task contracts at a time.
+AT_ONCE = 1_000_000
+
+
+def _contract(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Links to stars: each node with the smallest node that they connect it to."""
+    t = pa.Table.from_batches(batches)
+    u, v = (t.column(c).to_numpy() for c in ("u", "v"))
+    names, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    root = union_forest(len(names), at[: len(u)], at[len(u) :])
+    own = root != np.arange(len(names))
+    return pa.record_batch({"u": pa.array(names[own]), "v": pa.array(names[root[own]])})
+
+
+def _finish(batches):
+    """All links, whose number has been checked, at once."""
+    held = [b for b in batches if b.num_rows]
+    if held:
+        yield _contract(held)
+
+
+def _forest(batches):
+    """Links of a partition to a spanning forest of them, a bounded number at a time: what
+    connects the same nodes with fewer rows."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= AT_ONCE:
+            one = _contract(held)
+            if one.num_rows > n // 2:  # not worth keeping open
+                yield one
+                held, n = [], 0
+            else:
+                held, n = [one], one.num_rows
+    if n:
+        yield _contract(held)
+
+
 def connected_components(edges: DataFrame, most: int = 60) -> DataFrame:
     """(u, v) long links to (node, component): the smallest node id reachable, for each node
-    that has a link to another. Alternates large-star and small-star rounds; each round is a
-    minimum per node (combined before its shuffle) and an equi-join that AQE splits when one
-    node has very many links. Rounds are written to the shared folder. Self links and nulls
+    that has a link to another. Each partition first contracts its links to a forest. If what is
+    left is small (a checked bound), one task finishes; else large-star and small-star rounds
+    alternate, each a minimum per node (combined before its shuffle) and an equi-join that AQE
+    splits when one node has very many links, written to the shared folder. Self links and nulls
     are left out; an empty input gives an empty result."""
-    cur = materialise(
-        edges.where("u is not null and v is not null and u <> v")
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
+    clean = edges.where("u is not null and v is not null and u <> v").select("u", "v")
+    cur = materialise(clean.mapInArrow(_forest, "u long, v long"), "cc")
+    if cur.count() <= FEW_LINKS:
+        cur = cur.repartition(1).mapInArrow(_finish, "u long, v long")
+    else:
+        cur = _rounds(cur, most)
+    pairs = cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return pairs.unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _rounds(cur: DataFrame, most: int) -> DataFrame:
+    """Links (u to the smaller v) to stars."""
     last = None
     for _ in range(most):
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -200,9 +269,6 @@ def connected_components(edges: DataFrame, most: int = 60) -> DataFrame:
         discard(cur)
         cur = nxt
         if now == last:
-            break
+            return cur
         last = now
-    else:
-        raise RuntimeError("components did not settle")
-    pairs = cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return pairs.unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    raise RuntimeError("components did not settle")
