@@ -17,18 +17,18 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the largest doc_id of each group of equal texts."""
-    found = exact_dedup.exact_dedup(docs).select(F.col("doc_id").alias("d"), "kept", F.unhex("text_sha256").alias("sha"))
+    found = exact_dedup.exact_dedup(docs).select(F.col("doc_id").alias("__d"), F.col("kept").alias("__kept"), F.unhex("text_sha256").alias("__digest"))
     found = materialise(found, "exact")
     # ids that several rows have need the digest too
-    many = found.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("d").alias("m"))
+    many = found.groupBy("__d").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("__d").alias("__m"))
     if many.isEmpty():
-        return drop_rows(docs, found.where("not kept").select("d"), (F.col("doc_id"), "d"))
+        return drop_rows(docs, found.where("not __kept").select("__d"), (F.col("doc_id"), "__d"))
     many = materialise(many, "repeated")
-    simple = drop_rows(docs, found.where("not kept").select("d").dropDuplicates(), (F.col("doc_id"), "d"))
-    simple = drop_rows(simple, many, (F.col("doc_id"), "m"))
+    simple = drop_rows(docs, found.where("not __kept").select("__d").dropDuplicates(), (F.col("doc_id"), "__d"))
+    simple = drop_rows(simple, many, (F.col("doc_id"), "__m"))
     folded = F.translate(F.coalesce("text", F.lit("")), exact_dedup.UPPER.decode(), exact_dedup.UPPER.lower().decode())
-    again = docs.join(many, F.col("doc_id").eqNullSafe(F.col("m")), "left_semi").withColumn("__sha", F.sha2(folded.cast("binary"), 256))
-    again = again.join(found.where("kept"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.unhex("__sha") == F.col("sha")), "left_semi")
+    again = docs.join(many, F.col("doc_id").eqNullSafe(F.col("__m")), "left_semi").withColumn("__sha", F.sha2(folded.cast("binary"), 256))
+    again = again.join(found.where("__kept"), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.unhex("__sha") == F.col("__digest")), "left_semi")
     return simple.unionByName(again.dropDuplicates(["doc_id", "__sha"]).drop("__sha"))
 
 

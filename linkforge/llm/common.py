@@ -43,6 +43,25 @@ def discard(df: DataFrame | None) -> None:
         p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Arrow batches of texts are made no larger than this, so that a Python worker's copies of one
+#: stay small next to an executor's memory.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, "64m").lower().rstrip("b")
+    size = int(now[:-1]) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}[now[-1]] if now[-1] in "kmg" else int(now)
+    if size <= 0 or size > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text) of a table whose other columns may have any names."""
+    small_batches(docs.sparkSession)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
 #: Rows of ids that may be broadcast; beyond it both sides are shuffled.
 MOST_IDS = 500_000
 
@@ -51,10 +70,10 @@ def drop_rows(docs: DataFrame, gone: DataFrame, *keys: tuple) -> DataFrame:
     """The rows of ``docs`` that match none of ``gone``; keys are pairs (expression over docs,
     column of gone), nulls equal. ``gone`` has been written, so counting it is cheap: while it is
     small, texts stay where they are, and past ``MOST_IDS`` rows the join is a shuffled one."""
-    on = None
-    for left, right in keys:
-        one = left.eqNullSafe(gone[right])
-        on = one if on is None else on & one
+    gone = gone.select(*[F.col(right).alias(f"__gone_{i}") for i, (_, right) in enumerate(keys)])
+    on = F.lit(True)
+    for i, (left, _) in enumerate(keys):
+        on = on & left.eqNullSafe(F.col(f"__gone_{i}"))
     small = gone.count() <= MOST_IDS
     return docs.join(F.broadcast(gone) if small else gone.hint("shuffle_merge"), on, "left_anti")
 

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, shuffle_parts
+from .common import id_text, materialise, shuffle_parts
 
 UPPER = bytes(range(65, 91))
 FOLD = bytes.maketrans(UPPER, UPPER.lower())
@@ -104,7 +104,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     local = materialise(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        id_text(docs, id_col, text_col)
         .mapInArrow(_runs, "run int, digest binary, proof binary, home long, ids array<long>"), "digest-runs")
     runs = (local.agg(F.max("run")).first()[0] or 0) + 1
     tree = local.select(

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, text_bytes
+from .common import chunks, id_text, small_batches, text_bytes
 
 #: Families of ISO 639-1 codes; a code that isn't here is a family of its own.
 FAMILIES = {
@@ -210,13 +210,14 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             lang, score = _predict(shared.value, b.column(1))
             yield pa.record_batch([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    base = id_text(docs, id_col, text_col)
     return base.mapInArrow(predict, "doc_id long, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.0) -> DataFrame:
     """The rows, with all their columns, whose text has a language: ``und`` goes, and so does a
     score below ``least``. A model that learned nothing only rejects texts without a letter."""
+    small_batches(docs.sparkSession)
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def keep(batches):

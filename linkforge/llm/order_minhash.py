@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, connected_components, materialise, mix, occurrence, rolling, text_bytes, words
+from .common import chunks, connected_components, id_text, materialise, mix, occurrence, rolling, text_bytes, words
 
 GRAM, LEAST, SKETCHES, TAKE = 5, 0.8, 14, 4
 #: Texts of a block that meet in one task; larger blocks are dealt out in pairs of slices.
@@ -205,7 +205,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own id. Null ids have a null component unless linked with others. Other columns are not read.
     An empty table gives no rows.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    base = id_text(docs, id_col, text_col)
     base = base.withColumn("text_key", F.xxhash64("text"))
     rows = materialise(base.mapInArrow(_sketches(sketches, take), "doc_id long, node long, keys array<long>, text_key long"), "omh-rows")
     # classes of equal word sequences; what follows sees each once

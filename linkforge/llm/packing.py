@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import id_text, materialise
 
 CAPACITY = 2048
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, ord long"
@@ -234,7 +234,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     an empty result. Sequences are gapless from offset 0.
     """
     pieces = materialise(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        id_text(docs, id_col, text_col)
         .mapInArrow(_cutter(capacity, end_id), PIECES), "pieces")
     by_part = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     # a rank is the place among the pieces of a length: those of earlier partitions, then its own

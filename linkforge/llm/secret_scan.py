@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import id_text, small_batches
+
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # of 20 characters or more; maximal runs, so the same spans
@@ -47,40 +49,35 @@ def char_bits(c: str) -> float:
 
 
 def guess_bits(value: str) -> float:
-    """Least total cost over all segmentations, by dynamic programming over end positions; linear
-    in the length of the value, as walks and repeats are kept as the best open start."""
+    """Least total cost over all segmentations, exactly, by dynamic programming over end
+    positions. Walks and repeats of three or more characters start where their run starts, so the
+    work is linear in the length of the value. A brute-force span costs a bit to open."""
     low, n = value.lower(), len(value)
-    best = [0.0] + [math.inf] * n
-    dates: dict[int, list[tuple[int, float]]] = {}
-    for i in range(n):
-        if value[i].isdigit() and (m := DATE.match(value, i)):
-            dates.setdefault(m.end(), []).append((i, _DATE_BITS[m.end() - i]))
-            if m.end() - i != 4 and DATE.match(value[i : i + 4]):
-                dates.setdefault(i + 4, []).append((i, _DATE_BITS[4]))
-    walk = repeat = brute = 0  # starts of the longest walk, repeat that reach this position
+    if len(low) != n:
+        low = value
+    best, brute = [0.0] + [math.inf] * n, math.inf
+    dates: dict[int, list[float]] = {}
+    walk = repeat = 0  # where the walk and the repeat that reach this position started
     for i in range(1, n + 1):
         c = value[i - 1]
+        if c.isdigit():
+            for size, bits in _DATE_BITS.items():
+                if i - 1 + size <= n and DATE.fullmatch(value, i - 1, i - 1 + size):
+                    dates.setdefault(i - 1 + size, []).append(best[i - 1] + bits)
         if i > 1:
             walk = walk if low[i - 2] + low[i - 1] in STEP else i - 1
             repeat = repeat if value[i - 2] == c else i - 1
-        # a brute-force span costs a bit to open and its characters
-        cost = best[i - 1] + char_bits(c) + (1.0 if brute != i - 1 else 0.0)
-        opened = brute == i - 1 or cost < math.inf
+        brute = min(brute, best[i - 1] + 1.0) + char_bits(c)
+        cost = min([brute, *dates.pop(i, ())])
         for w in range(1, min(LONGEST, i) + 1):
             if (r := RANK.get(low[i - w : i])) is not None:
                 part = value[i - w : i]
                 case = 0.0 if part == part.lower() else 1.0 if part in (part.upper(), part.capitalize()) else float(w)
-                if (x := best[i - w] + 1 + math.log2(r + 1) + case) < cost:
-                    cost, opened = x, False
+                cost = min(cost, best[i - w] + 1 + math.log2(r + 1) + case)
         for start, kind in ((walk, math.log2(len(ROWS) * 20)), (repeat, math.log2(95))):
-            if i - start >= 3 and (x := best[start] + kind + math.log2(i - start)) < cost:
-                cost, opened = x, False
-        for start, bits in dates.get(i, ()):
-            if (x := best[start] + bits) < cost:
-                cost, opened = x, False
+            if i - start >= 3:
+                cost = min(cost, best[start] + kind + math.log2(i - start))
         best[i] = cost
-        if opened:
-            brute = i
     return best[n]
 
 
@@ -132,13 +129,14 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"])
 
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    base = id_text(docs, id_col, text_col)
     return base.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long")
 
 
 def redact_docs(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """All rows and columns, with every secret's span replaced by its kind in brackets, and
     ``chars_col``, where there is one, the new length of changed texts. Null texts stay null."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
     count = docs.columns.index(chars_col) if chars_col in docs.columns else None
 

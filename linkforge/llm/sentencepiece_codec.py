@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import id_text
+
 MARK = "▁"
 CHUNK = re.compile(r" *[^ ]+| +")
 CACHE = 200_000
@@ -219,5 +221,5 @@ def _coded(docs, path, id_col, text_col, row, kinds, schema):
                 rows = [row(k, ids, t, codec.decode(ids.tolist())) for k, ids, t in zip(part.column(0).to_pylist(), found, texts, strict=True)]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    base = id_text(docs, id_col, text_col)
     return base.mapInArrow(run, schema)
