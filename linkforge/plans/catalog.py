@@ -20,7 +20,8 @@ class Setting:
         make = {"part": adapters.part_entities, "docs": adapters.document_entities}[adapter]
         self.entities = make(spark, sf_dir)
         self.s1, self.targets = adapters.sides(self.entities)
-        self.q, self.t = linkage.keyed_views(self.s1, "q_id"), linkage.keyed_views(self.targets, "t_id")
+        # views are small next to their texts, are read several times by every query, and spill
+        self.q, self.t = (linkage.keyed_views(df, c).persist() for df, c in ((self.s1, "q_id"), (self.targets, "t_id")))
 
     @property
     def ids(self) -> DataFrame:
