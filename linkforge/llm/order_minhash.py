@@ -9,8 +9,13 @@ shingles where their order agrees, and less where it does not.
 
 Texts with equal word sequences are one class and compared once. Candidate links form blocks
 (connected components of cheap 16-byte links); a block's word hashes meet once, and inside it all
-candidate pairs that are not yet connected are verified. A block with many texts is dealt out in
-pairs of slices, so that no task holds it whole. Only verified links make the result.
+candidate pairs that are not yet connected are verified. Only verified links make the result.
+
+A block of many texts first shrinks in linear rounds: each text is compared with one text it shares
+a sketch with, and sketches whose texts are all connected are done with. What is left meets sketch
+by sketch, so a text moves once per sketch however large its block is, and a pair is compared under
+the smallest sketch that it shares. Only where the texts of one sketch are many and not connected
+are they dealt out in pairs of slices; those of its largest connected part meet the others only.
 """
 
 from __future__ import annotations
@@ -26,8 +31,10 @@ from pyspark.sql import functions as F
 from .common import chunks, connected_components, id_text, materialise, mix, occurrence, rolling, text_bytes, words
 
 GRAM, LEAST, SKETCHES, TAKE = 5, 0.8, 14, 4
-#: Texts of a block that meet in one task; larger blocks are dealt out in pairs of slices.
+#: Texts of a block or, in larger blocks, of a sketch that meet in one task.
 SLICE = 1500
+#: Linear rounds at most; they save work only, as what they leave open is compared after them.
+ROUNDS = 4
 
 
 def labelled(h: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -130,11 +137,15 @@ def _sequences(batches):
         yield pa.record_batch([pa.array(whole, pa.int64()), pa.array(seq, pa.binary())], names=["node", "words"])
 
 
-def link_block(nodes: list[int], seqs: list[np.ndarray], keys: list[np.ndarray], side: list[int], least: float = LEAST) -> list[tuple[int, int]]:
+def link_block(
+    nodes: list[int], seqs: list[np.ndarray], keys: list[np.ndarray], side: list[int], least: float = LEAST, comp: list[int] | None = None, only: int | None = None
+) -> list[tuple[int, int]]:
     """Verified links that connect exactly what all verified candidate pairs would: pairs that
-    are connected already are passed over. Only pairs of different sides are compared where there
-    are two (a slice with itself has one)."""
-    up = list(range(len(nodes)))
+    are connected already (those of one ``comp`` are from the start) are passed over. Only pairs
+    of different sides are compared where there are two (a slice with itself has one). With
+    ``only``, all texts have that key, and it takes the pairs of which it is the smallest common key."""
+    first: dict[int, int] = {}
+    up = [first.setdefault(c, i) for i, c in enumerate(nodes if comp is None else comp)]
 
     def root(x):
         while up[x] != x:
@@ -144,9 +155,14 @@ def link_block(nodes: list[int], seqs: list[np.ndarray], keys: list[np.ndarray],
 
     cross = len(set(side)) > 1
     buckets: dict[int, list[int]] = defaultdict(list)
-    for i, ks in enumerate(keys):
-        for k in ks.tolist():
-            buckets[k].append(i)
+    below: list[set[int]] = []  # keys of each text that come before the only one
+    if only is None:
+        for i, ks in enumerate(keys):
+            for k in ks.tolist():
+                buckets[k].append(i)
+    else:
+        buckets[only] = list(range(len(nodes)))
+        below = [{k for k in ks.tolist() if k < only} for ks in keys]
     sizes = [len(s) for s in seqs]
     tried: set[tuple[int, int]] = set()
     links = []
@@ -165,9 +181,12 @@ def link_block(nodes: list[int], seqs: list[np.ndarray], keys: list[np.ndarray],
                         if cross and side[i] == side[j]:
                             continue
                         pair = (i, j) if i < j else (j, i)
-                        if pair in tried:
+                        if only is None:
+                            if pair in tried:
+                                continue
+                            tried.add(pair)
+                        elif not below[i].isdisjoint(below[j]):
                             continue
-                        tried.add(pair)
                         x, y = sizes[i], sizes[j]
                         if min(x, y) >= least * max(x, y) - 1e-9 and similar(seqs[i], seqs[j], least):
                             hit = pair
@@ -184,16 +203,89 @@ def link_block(nodes: list[int], seqs: list[np.ndarray], keys: list[np.ndarray],
 
 
 def _verify(least: float, gram: int):
-    def run(_, t):
+    def run(group, t):
         nodes = t.column("node").to_pylist()
         seqs = [labelled(np.frombuffer(x, "<u4").astype(np.uint64), gram) for x in t.column("words").to_pylist()]
         keys = [np.array(k, np.int64) for k in t.column("keys").to_pylist()]
-        links = link_block(nodes, seqs, keys, t.column("slice").to_pylist(), least)
+        only = group[1].as_py() if group[0].as_py() else None
+        links = link_block(nodes, seqs, keys, t.column("slice").to_pylist(), least, t.column("comp").to_pylist(), only)
         return pa.table({"u": pa.array([x for x, _ in links], pa.int64()), "v": pa.array([x for _, x in links], pa.int64())})
 
     return run
 
 
+def _compare(least: float, gram: int):
+    """Pairs with the words of both: those that are near."""
+
+    def run(batches):
+        last, right = None, None
+        for b in batches:
+            near = []
+            for v, x, y in zip(b.column("v").to_pylist(), b.column("left"), b.column("right"), strict=True):
+                if v != last:  # pairs come sorted by v
+                    last, right = v, labelled(np.frombuffer(y.as_buffer(), "<u4").astype(np.uint64), gram)
+                near.append(similar(labelled(np.frombuffer(x.as_buffer(), "<u4").astype(np.uint64), gram), right, least))
+            yield b.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
+
+    return run
+
+
+def _joined(keyed: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """``keyed`` with the connected part of each node, itself where nothing is linked yet."""
+    if comp is None:
+        return keyed.withColumn("comp", F.col("node"))
+    return keyed.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+
+
+def _shrink(keyed: DataFrame, words_of: DataFrame, least: float, rounds: int) -> tuple[DataFrame | None, DataFrame]:
+    """Verified links of linear rounds, and (node, key, comp) of the keys whose nodes they don't
+    all connect. In each round a key that is open picks one of its connected parts, by a hash that
+    changes with the round, and each node outside compares itself with a node of one such part. A
+    node that very many are compared with is copied in proportion, so that no task gets them all."""
+    links, comp = None, None
+    for r in range(rounds):
+        now = _joined(keyed, comp)
+        pick = F.struct(F.xxhash64("comp", F.lit(r)).alias("turn"), "comp", "node")
+        centre = now.groupBy("key").agg(F.min(pick).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        picked = now.join(centre, "key").where(F.col("comp") != F.col("c.comp")).groupBy("node").agg(F.min("c").alias("c"))
+        picked = materialise(picked.select(F.col("node").alias("u"), F.col("c.node").alias("v")), "omh-picked")
+        if picked.isEmpty():
+            break
+        copies = picked.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / F.lit(SLICE)).cast("int").alias("copies"))
+        right = copies.join(words_of.toDF("v", "right"), "v").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+        left = picked.join(copies, "v").withColumn("copy", F.pmod(F.xxhash64("u"), F.col("copies")).cast("int")).drop("copies")
+        pairs = left.join(words_of.toDF("u", "left"), "u").join(right, ["v", "copy"]).sortWithinPartitions("v")
+        new = materialise(pairs.select("u", "v", "left", "right").mapInArrow(_compare(least, GRAM), "u long, v long"), "omh-stars")
+        if new.isEmpty():
+            break
+        links = new if links is None else links.unionByName(new)
+        comp = materialise(connected_components(links), "omh-parts").select("node", "component")
+    now = _joined(keyed, comp)
+    still = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    return links, materialise(now.join(still, "key"), "omh-open")
+
+
+def _dealt(rest: DataFrame) -> DataFrame:
+    """What ``_shrink`` leaves, by key: one slice where its nodes are few, else slices of the largest
+    connected part and slices of the others, in such pairs that all nodes meet except two of that
+    part. ``keys`` are the open keys of a node, which include all that it shares with nodes that it
+    is not connected with."""
+    parts = rest.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
+    few = F.col("n") <= SLICE
+    others = F.when(few, 1).otherwise(F.ceil((F.col("n") - F.col("top.n")) / F.lit(SLICE))).cast("int")
+    most = F.when(few, 0).otherwise(F.ceil(F.col("top.n") / F.lit(SLICE))).cast("int")
+    sized = sizes.select("key", F.col("top.comp").alias("top"), others.alias("others"), most.alias("most"))
+    within = lambda n: F.pmod(F.xxhash64("node"), n.cast("long")).cast("int")
+    in_top = (F.col("most") > 0) & (F.col("comp") == F.col("top"))
+    keys = rest.groupBy("node").agg(F.collect_list("key").alias("keys"))
+    return rest.join(sized, "key").join(keys, "node").select(
+        "node", F.lit(True).alias("by_key"), F.col("key").alias("block"), "keys", "comp",
+        F.when(in_top, F.col("others") + within(F.greatest("most", F.lit(1)))).otherwise(within(F.col("others"))).alias("slice"),
+        F.when(in_top, F.col("others")).otherwise(F.col("others") + F.col("most")).alias("meets"),
+    )
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, sketches: int = SKETCHES, take: int = TAKE) -> DataFrame:
     """One row per input row: doc_id, component_id, kept, text_key (a hash of the text, to find
     the row by where ids repeat).
@@ -215,19 +307,25 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stars = keyed.join(centre.select("key", "c"), "key").where("node <> c").select(F.col("node").alias("u"), F.col("c").alias("v"))
     blocks = materialise(connected_components(stars).withColumnRenamed("component", "block"), "omh-blocks")
     sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
-    cut = F.ceil(F.col("n") / F.lit(SLICE)).cast("int")
-    placed = blocks.join(sizes, "block").select(
-        "node", "block", cut.alias("slices"), F.pmod(F.xxhash64("node"), cut.cast("long")).cast("int").alias("slice"))
+    sized = blocks.join(sizes, "block")
     seqs = base.mapInArrow(_sequences, "node long, words binary")
-    known = placed.join(classes.select("node", "keys"), "node")
-    # every pair of slices of a block meets in one task
+    large = materialise(sized.where(F.col("n") > SLICE).select("node"), "omh-large")
+    known = sized.where(F.col("n") <= SLICE).join(classes.select("node", "keys"), "node").select(
+        "node", F.lit(False).alias("by_key"), "block", "keys", F.col("node").alias("comp"), F.lit(0).alias("slice"), F.lit(1).alias("meets"))
+    found_so_far = None
+    if large.isEmpty():
+        having = seqs.join(known, "node").dropDuplicates(["node"])
+    else:
+        seqs = materialise(seqs.join(blocks.select("node"), "node", "left_semi").dropDuplicates(["node"]), "omh-words")
+        hot = seqs.join(large, "node", "left_semi")
+        found_so_far, rest = _shrink(materialise(keyed.join(large, "node", "left_semi"), "omh-hot"), hot, least, ROUNDS)
+        having = seqs.join(known.unionByName(_dealt(rest)), "node")
+    # slices that have something to compare meet in one task
     pair = lambda o: F.struct(F.least("slice", o).alias("a"), F.greatest("slice", o).alias("b"))
-    met = (
-        seqs.join(known, "node").dropDuplicates(["node"])
-        .withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0), F.col("slices") - 1), pair)))
-        .select("block", "pair.a", "pair.b", "node", "words", "keys", "slice")
-    )
-    links = materialise(met.groupBy("block", "a", "b").applyInArrow(_verify(least, GRAM), "u long, v long"), "omh-links")
+    met = having.withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0), F.col("meets") - 1), pair))).select(
+        "by_key", "block", "pair.a", "pair.b", "node", "words", "keys", "slice", "comp")
+    links = materialise(met.groupBy("by_key", "block", "a", "b").applyInArrow(_verify(least, GRAM), "u long, v long"), "omh-links")
+    links = links if found_so_far is None else links.unionByName(found_so_far)
     found = connected_components(links)
     labels = found.join(classes.select(F.col("node"), "least_id"), "node")
     smallest = labels.groupBy("component").agg(F.min("least_id").alias("component_id"))

@@ -373,6 +373,31 @@ def test_near_dedup_brute_force(spark, monkeypatch, slices):
     assert all(want[i] == want[j] for i in want for j in want if fine[i] == fine[j])  # nothing too many
 
 
+def test_large_blocks_shrink_to_the_same(spark, monkeypatch):
+    rng = random.Random(3)
+    seed = [f"w{rng.randrange(900)}" for _ in range(260)]
+
+    def changed(n):
+        t = list(seed)
+        for at in rng.sample(range(len(t)), n):
+            t[at] = f"x{rng.randrange(10**6)}"
+        return " ".join(t)
+
+    # copies near each other, copies that are near to some only, and copies that only share sketches
+    rows = [(i, changed(n)) for i, n in enumerate([1, 2, 3, 4] * 8 + [6, 7, 8, 9, 12, 16, 20, 24] * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def found(size, rounds):
+        monkeypatch.setattr(order_minhash, "SLICE", size)
+        monkeypatch.setattr(order_minhash, "ROUNDS", rounds)
+        return {r.doc_id: r.component_id for r in order_minhash.near_dedup(docs).collect()}
+
+    want = found(1500, 4)
+    assert 2 < len(set(want.values())) < len(rows) - 20
+    assert found(5, 4) == want
+    assert found(5, 1) == want
+
+
 def test_aligned_is_exact():
     rng = random.Random(6)
     for _ in range(400):
