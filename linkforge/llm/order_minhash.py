@@ -230,21 +230,24 @@ def _compare(least: float, gram: int):
     return run
 
 
-def _joined(keyed: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """``keyed`` with the connected part of each node, itself where nothing is linked yet."""
+def _joined(nodes: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """(node, key, comp) of (node, keys): comp is the connected part of a node, itself where nothing
+    is linked yet. Nodes are joined before their keys are unfolded."""
     if comp is None:
-        return keyed.withColumn("comp", F.col("node"))
-    return keyed.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+        nodes = nodes.withColumn("comp", F.col("node"))
+    else:
+        nodes = nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    return nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"), "comp")
 
 
-def _shrink(keyed: DataFrame, words_of: DataFrame, least: float, rounds: int) -> tuple[DataFrame | None, DataFrame]:
+def _shrink(nodes: DataFrame, words_of: DataFrame, least: float, rounds: int) -> tuple[DataFrame | None, DataFrame]:
     """Verified links of linear rounds, and (node, key, comp) of the keys whose nodes they don't
     all connect. In each round a key that is open picks one of its connected parts, by a hash that
     changes with the round, and each node outside compares itself with a node of one such part. A
     node that very many are compared with is copied in proportion, so that no task gets them all."""
     links, comp = None, None
     for r in range(rounds):
-        now = _joined(keyed, comp)
+        now = _joined(nodes, comp)
         pick = F.struct(F.xxhash64("comp", F.lit(r)).alias("turn"), "comp", "node")
         centre = now.groupBy("key").agg(F.min(pick).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
         picked = now.join(centre, "key").where(F.col("comp") != F.col("c.comp")).groupBy("node").agg(F.min("c").alias("c"))
@@ -260,7 +263,7 @@ def _shrink(keyed: DataFrame, words_of: DataFrame, least: float, rounds: int) ->
             break
         links = new if links is None else links.unionByName(new)
         comp = materialise(connected_components(links), "omh-parts").select("node", "component")
-    now = _joined(keyed, comp)
+    now = _joined(nodes, comp)
     still = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     return links, materialise(now.join(still, "key"), "omh-open")
 
@@ -318,7 +321,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         seqs = materialise(seqs.join(blocks.select("node"), "node", "left_semi").dropDuplicates(["node"]), "omh-words")
         hot = seqs.join(large, "node", "left_semi")
-        found_so_far, rest = _shrink(materialise(keyed.join(large, "node", "left_semi"), "omh-hot"), hot, least, ROUNDS)
+        found_so_far, rest = _shrink(materialise(classes.select("node", "keys").join(large, "node", "left_semi"), "omh-hot"), hot, least, ROUNDS)
         having = seqs.join(known.unionByName(_dealt(rest)), "node")
     # slices that have something to compare meet in one task
     pair = lambda o: F.struct(F.least("slice", o).alias("a"), F.greatest("slice", o).alias("b"))
