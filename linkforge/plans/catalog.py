@@ -17,7 +17,7 @@ class Setting:
     """An adapter's entities, views, truth and candidates."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, adapter: str = "part"):
-        make = {"part": adapters.part_entities, "docs": adapters.document_entities}[adapter]
+        make = {"part": adapters.part_entities, "docs": adapters.document_entities, "texts": adapters.text_entities}[adapter]
         self.entities = make(spark, sf_dir)
         self.s1, self.targets = adapters.sides(self.entities)
         # views are small next to their texts, are read several times by every query, and spill
@@ -278,7 +278,7 @@ def submission_checks(spark, d):
 
 
 def _model_scores(spark, d, kind):
-    s = Setting(spark, d, "docs")
+    s = Setting(spark, d, "texts")
     cands = s.candidates().persist()  # read by training and by prediction
     fitted, _ = linkage.train(cands, s.truth, s.s1, s.targets, kind=kind)
     return _round(linkage.predict(fitted, cands, s.s1, s.targets).select("q_id", "t_id", "rank", "prob"))

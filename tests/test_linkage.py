@@ -165,3 +165,16 @@ def test_retrieval_ties_and_empty(spark):
     assert [r.t_id for r in linkage.retrieve(q, t, 1).collect()] == ["S2-2"]
     assert [r.t_id for r in linkage.retrieve(q, t, 1, ranking="batch").collect()] == ["S2-3"]
     assert blocking.pair_evidence(linkage.keyed_views(q, "q_id"), linkage.keyed_views(t, "t_id"), cap=1).count() == 0
+
+
+def test_models_see_whole_texts(spark, tmp_path):
+    """Documents that share no token before the 17th are retrieved by what follows."""
+    ends = ["constantinople harbourmaster quarterdeck", "zwetschgenbaum kirchenglocke donaudampfer"]
+    starts = [" ".join(f"{c}{i:02d}x" for i in range(16)) for c in "abcd"]
+    docs = [(i + 3, f"{starts[i]} {ends[i // 2]}", "en") for i in range(4)]  # ids 3 to 6 are of S1, S2, S3, S1
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    s = catalog.Setting(spark, str(tmp_path), "texts")
+    assert {(r.q_id, r.t_id) for r in s.candidates().collect()} == {("S1-3", "S2-4"), ("S1-6", "S3-5")}
+    both = s.entities.select(F.concat_ws(" ", "business_name", "business_address").alias("t"))
+    assert {r.t for r in both.collect()} == {t for _, t, _ in docs}
+    assert {(r.q_id, r.t_id) for r in catalog.lr_scores(spark, str(tmp_path)).collect()} == {("S1-3", "S2-4"), ("S1-6", "S3-5")}
