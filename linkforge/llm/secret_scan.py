@@ -1,15 +1,18 @@
 """Secret scans: fixed patterns, and password guess-cost dynamic programming.
 
 The value of each credential context is segmented at the smallest total cost (in bits) into
-dictionary words, dates, repeats, keyboard walks and brute-force spans. A value that takes at
-least ``LEAST_BITS`` to guess is a secret; ``changeme2024`` is not.
+dictionary words, runs of letters that read as an unlisted word, dates, repeats, keyboard walks and
+brute-force spans. A value that takes at least ``LEAST_BITS`` to guess is a secret;
+``changeme2024`` is not.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import pkgutil
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,14 +29,16 @@ CONTEXT = re.compile(
     r"""(?:pwd|pass|passphrase|credentials?|private_?key|access_?key|client_?secret|auth_?key|bearer|password|passwd|secret|token|api_?key)["']?\x20*(?:[:=]{1,2}>?|\bis\b)\x20*["']?([^\s"'<>,;]{8,})""",
     re.I | re.A,
 )
-LEAST_BITS = 50.0
-# Common words of passwords and configuration files.
+LEAST_BITS = 33.0
+# Common words of passwords and configuration files; then words.txt, the most frequent first: words
+# (and frequent parts of words) of the public vocabularies' entries, most of them of European languages.
 WORDS = (
     "password pass word admin root user login welcome letmein master dragon monkey shadow sunshine princess football baseball iloveyou "
     "trustno superman batman hello freedom whatever qwerty secret token key test testing demo example sample default change changeme "
     "your here none null true false todo placeholder dummy value string enter insert replace my the this that not real fake temp "
     "summer winter spring autumn monday friday january love hunter access api client server public private local prod dev stage"
 ).split()
+WORDS += pkgutil.get_data(__package__, "words.txt").decode().split()
 RANK = {w: i + 1 for i, w in enumerate(WORDS)}
 LONGEST = max(map(len, WORDS))
 ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz")
@@ -42,6 +47,35 @@ DATE = re.compile(
     r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d"
 )
 _DATE_BITS = {4: math.log2(100), 8: math.log2(100 * 366), 10: math.log2(100 * 366 * 5)}
+#: An unlisted word of a language is a guess among about this many (in bits).
+UNLISTED_BITS = 18.0
+#: Most bits a letter, under the letter model, of a run of letters that reads as a word.
+READABLE = 4.7
+LETTERS = re.compile(r"[^\W\d_]+")
+PROSE = re.compile(r"((?:[^\W\d_]+-)*[^\W\d_]+)[.!?:)\]]*")
+
+
+def _letter_model() -> tuple[Counter, Counter]:
+    """Counts of letters after their two predecessors, and of the predecessors, over the words."""
+    after, before = Counter(), Counter()
+    for w in WORDS:
+        x = f"^^{w}$"
+        for i in range(2, len(x)):
+            after[x[i - 2 : i + 1]] += 1
+            before[x[i - 2 : i]] += 1
+    return after, before
+
+
+AFTER, BEFORE = _letter_model()
+
+
+def readable(run: str) -> bool:
+    """Whether letters follow each other as in the listed words, on average."""
+    if run not in (run.lower(), run.upper(), run.capitalize()):
+        return False
+    x = f"^^{run.lower()}$"
+    bits = sum(math.log2((BEFORE[x[i - 2 : i]] + 15) / (AFTER[x[i - 2 : i + 1]] + 0.2)) for i in range(2, len(x)))
+    return bits <= READABLE * (len(x) - 2)
 
 
 def char_bits(c: str) -> float:
@@ -57,6 +91,7 @@ def guess_bits(value: str) -> float:
         low = value
     best, brute = [0.0] + [math.inf] * n, math.inf
     dates: dict[int, list[float]] = {}
+    runs = {m.end(): m.start() for m in LETTERS.finditer(value) if m.end() - m.start() >= 6 and readable(m[0])}
     walk = repeat = 0  # where the walk and the repeat that reach this position started
     for i in range(1, n + 1):
         c = value[i - 1]
@@ -74,6 +109,8 @@ def guess_bits(value: str) -> float:
                 part = value[i - w : i]
                 case = 0.0 if part == part.lower() else 1.0 if part in (part.upper(), part.capitalize()) else float(w)
                 cost = min(cost, best[i - w] + 1 + math.log2(r + 1) + case)
+        if i in runs:
+            cost = min(cost, best[runs[i]] + UNLISTED_BITS)
         for start, kind in ((walk, math.log2(len(ROWS) * 20)), (repeat, math.log2(95))):
             if i - start >= 3:
                 cost = min(cost, best[start] + kind + math.log2(i - start))
@@ -91,7 +128,8 @@ def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, st
     more = []
     for m in CONTEXT.finditer(text):
         s, e = m.span(1)
-        if not any(a < e and s < b for a, b, _ in base) and guess_bits(m[1]) >= LEAST_BITS:
+        value = p[1] if (p := PROSE.fullmatch(m[1])) else m[1]  # words without the end of their sentence
+        if not any(a < e and s < b for a, b, _ in base) and guess_bits(value) >= LEAST_BITS:
             more.append((s, e, "guess"))
     return base, more
 

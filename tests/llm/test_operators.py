@@ -218,6 +218,19 @@ def test_guess_bits():
     assert len("x" * 100_000) and secret_scan.guess_bits("x7Kq" * 20_000) > 1e5
 
 
+def test_short_passwords_and_long_words():
+    for t, want in (("pwd=xK9qL2vTz", "pwd=[guess]"), ("password: x#9Kq$2Lm", "password: [guess]"), ("pwd=changeme2024", "pwd=changeme2024")):
+        assert secret_scan.redact(t) == want
+    rng = random.Random(4)
+    pick = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=n))
+    for n, least in ((8, 0.9), (9, 0.98), (10, 0.99)):
+        assert sum("[guess]" in secret_scan.redact(f"pwd={pick(n)}") for _ in range(500)) >= least * 500
+    words = """understanding responsibility straightforward unquestionably well-understood Verantwortung Geschwindigkeit Krankenversicherung
+        Sicherheitsvorkehrungen malheureusement particulièrement compréhension entendimiento perseverancia confidencialidad""".split()
+    for w in words:
+        assert secret_scan.redact(f"the secret is {w}. It") == f"the secret is {w}. It"
+
+
 @pytest.fixture(scope="module")
 def codec():
     import public_tokenizers
