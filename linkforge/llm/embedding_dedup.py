@@ -2,9 +2,11 @@
 
 Vectors of one label are dealt into shards by a hash; each shard is built into an HNSW graph, and
 every vector of the label queries every shard, in blocks. Searches run for a block of queries at
-a time as array operations. A query whose beam is full of hits is searched again with a wider
-one; then a sample of the block's queries is compared with brute force over the shard, and the
-beam of the whole block widens until that audit finds nothing missing. Hits are verified by the
+a time as array operations. The beam of a shard is the one that finds all hits of 512 searches
+from near its own vectors, so it does not depend on how many queries have hits there. A query
+whose beam is full of hits is searched again with a wider one; then a sample of the block's
+queries is compared with brute force over the shard, and the beam of this and later blocks widens
+until that audit finds nothing missing. Hits are verified by the
 cosine in double precision. Equal vectors are one class, so a vector that a third of all rows
 share is one node with a count.
 """
@@ -22,6 +24,8 @@ LEAST = 0.98
 #: Vectors a graph, and queries a block.
 SHARD, BLOCK = 4096, 1024
 M, BUILD_BEAM, BEAM = 12, 48, 48
+#: Searches that set a shard's beam, each with at least one true hit.
+PROBES = 512
 
 
 class Graph:
@@ -150,7 +154,8 @@ class Graph:
 
 def hits(graph: Graph, x: np.ndarray, q: np.ndarray, least: float, beam: int = BEAM, audit: int = 32) -> tuple[np.ndarray, np.ndarray, int]:
     """(query, node) pairs with a float cosine of about ``least`` or more, and the beam that
-    passed the audit. The last resort of a beam as wide as the shard is exhaustive."""
+    passed the audit. The last resort, from beams of an eighth of the shard on, is exhaustive: that
+    costs less than such a search."""
     n, slack = len(x), least - 1e-4
     step = max(1, len(q) // audit)
     sample = np.arange(0, len(q), step)
@@ -158,7 +163,7 @@ def hits(graph: Graph, x: np.ndarray, q: np.ndarray, least: float, beam: int = B
     while True:
         found_q, found_n, left, width = [], [], np.arange(len(q)), beam
         while len(left):
-            if width >= n:
+            if width * 8 >= n:
                 r, c = np.nonzero(q[left] @ x.T >= slack)
                 found_q.append(left[r])
                 found_n.append(c)
@@ -178,11 +183,25 @@ def hits(graph: Graph, x: np.ndarray, q: np.ndarray, least: float, beam: int = B
         got = np.zeros(truth.shape, bool)
         on = (a % step == 0) & (a // step < len(sample))
         got[a[on] // step, b[on]] = True
-        if (got | ~truth).all() or beam >= n:
+        if (got | ~truth).all() or beam * 8 >= n:
             return a, b, beam
         beam *= 2
 
 
+def probed_beam(graph: Graph, x: np.ndarray, least: float, probes: int = PROBES) -> int:
+    """The beam that finds every true hit of searches from near the shard's own vectors, at cosines
+    of ``least`` to 1 with them. Each has a hit, however few queries of real blocks do."""
+    rng = np.random.default_rng(7)
+    own = x[rng.permutation(len(x))[:probes]].astype(np.float64)
+    off = rng.normal(size=own.shape)
+    off -= np.einsum("ij,ij->i", off, own)[:, None] * own
+    off /= np.maximum(np.linalg.norm(off, axis=1, keepdims=True), 1e-9)
+    cos = rng.uniform(least, 1, (len(own), 1))
+    q = cos * own + np.sqrt(1 - cos**2) * off
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    return hits(graph, x, q.astype(np.float32), least, audit=len(q))[2]
+
+
 def _pack(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     v = t.column("v").combine_chunks()
     x = np.asarray(v.flatten()).reshape(len(v), -1) if len(v) else np.zeros((0, 1))
@@ -206,12 +225,13 @@ def _search(least: float):
         exact = x / np.linalg.norm(x, axis=1, keepdims=True)
         unit = exact.astype(np.float32)
         graph = Graph(unit)
+        beam = probed_beam(graph, unit, least)
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for r in range(t.num_rows):
             qids = np.frombuffer(t.column("qnodes")[r].as_py(), "<i8")
             q = np.frombuffer(t.column("qx")[r].as_py(), "<f8").reshape(-1, dim)
             q = q / np.linalg.norm(q, axis=1, keepdims=True)
-            a, b, _ = hits(graph, unit, q.astype(np.float32), least)
+            a, b, beam = hits(graph, unit, q.astype(np.float32), least, beam)
             real = np.einsum("ij,ij->i", q[a], exact[b]) >= least
             a, b = a[real], b[real]
             other = qids[a] != ids[b]

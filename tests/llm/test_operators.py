@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +126,28 @@ def test_graph_recall():
     assert len(want & set(zip(a, b, strict=True))) >= 0.999 * len(want)
 
 
+def test_beam_of_sparse_hits():
+    """Islands that a beam of 48 misses, and a block whose sampled queries hit nothing."""
+    rng = np.random.default_rng(5)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    def near(own, c):
+        off = rng.normal(size=own.shape)
+        off = unit(off - np.einsum("ij,ij->i", off, own)[:, None] * own)
+        return unit(c * own + np.sqrt(1 - c * c) * off)
+
+    x = near(np.repeat(unit(rng.normal(size=(26, 32))), 40, 0)[:1024], 0.9)
+    q = near(x[rng.permutation(1024)], 0.985)
+    q[::32] = unit(rng.normal(size=(32, 32)))
+    want = (q @ x.T >= 0.98).sum(axis=1)
+    assert not want[::32].any() and (np.delete(want, np.s_[::32]) > 0).all()
+    blob = lambda v, kind: [v.astype(kind).tobytes()]
+    t = pa.table({"dim": [32], "nodes": blob(np.arange(1024), "<i8"), "copies": blob(np.ones(1024), "<i8"), "x": blob(x, "<f8"), "qnodes": blob(np.arange(1024) + 5000, "<i8"), "qx": blob(q, "<f8")})
+    got = embedding_dedup._search(0.98)(None, t)
+    n = dict(zip(got.column("node").to_pylist(), got.column("n").to_pylist(), strict=True))
+    assert [n.get(i + 5000, 0) for i in range(1024)] == want.tolist()
+
+
 def brute_substring(docs, size):
     ws = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in docs]
     seen = {}
