@@ -1,6 +1,6 @@
-"""Best-fit packing of token sequences: a configuration linear program over the length
-histogram, solved by multiplicative weights with knapsack dynamic-programming pricing, rounded
-down, and the rest packed best-fit decreasing, a length at a time.
+"""Best-fit packing of token sequences: a configuration linear program over the whole length
+histogram, solved by multiplicative weights with knapsack dynamic-programming pricing, rounded,
+solved again for what rounding leaves, and the last residue packed best-fit decreasing.
 
 The driver only ever sees the histogram (at most ``capacity`` rows) and a list of
 configurations; documents are tokenised once, where they are read, and each piece finds its
@@ -27,6 +27,13 @@ from pyspark.sql import functions as F
 from .common import id_text, materialise
 
 CAPACITY = 2048
+#: Rounds of multiplicative weights, and solutions of the program (the first of all pieces, the next of what
+#: rounding left).
+ROUNDS, PASSES = 100, 3
+#: Exponent of the weights, largest step as a share of a length's pieces, extra price of long pieces, and how far
+#: below the best price a configuration may be.
+ETA, STEP, LONGER, SLACK = 0.02, 0.5, 0.1, 0.02
+Config = dict[int, int]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, ord long"
 
 
@@ -57,8 +64,10 @@ class ByteTokenizer:
         if not self.special.search(text):
             try:
                 return self.fast.encode_to_numpy(text, disallowed_special=())
-            except BaseException as e:  # a panic of the extension is no Exception
-                if isinstance(e, (KeyboardInterrupt, SystemExit, MemoryError)):
+            except ValueError:
+                pass
+            except BaseException as e:
+                if type(e).__name__ != "PanicException":  # of the extension; it is no Exception
                     raise
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -88,50 +97,73 @@ def _cutter(capacity: int, end_id: int):
     return cut
 
 
-def knapsack(weight: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
-    """The filling of one sequence with the largest total weight (items may repeat), exactly."""
-    best, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+def prices(weight: np.ndarray, capacity: int) -> np.ndarray:
+    """Knapsack dynamic program, exactly: for each room from 0 to ``capacity`` the largest total
+    weight of pieces that fit (a length may repeat). ``weight`` is by length, 0 where there is none."""
+    best = np.zeros(capacity + 1)
     for c in range(1, capacity + 1):
-        k = np.searchsorted(lengths, c, side="right")
-        best[c], take[c] = best[c - 1], -1
-        if k:
-            got = best[c - lengths[:k]] + weight[:k]
-            j = int(got.argmax())
-            if got[j] > best[c]:
-                best[c], take[c] = got[j], j
-    out: dict[int, int] = defaultdict(int)
-    c = capacity
-    while c > 0:
-        if take[c] < 0:
-            c -= 1
-        else:
-            out[int(lengths[take[c]])] += 1
-            c -= int(lengths[take[c]])
-    return out
-
-
-def solve(counts: dict[int, int], capacity: int, rounds: int) -> list[tuple[dict[int, int], float]]:
-    """Configurations and their fractional numbers of the covering linear program
-    min sum x_c subject to sum a_cL x_c >= n_L, by multiplicative weights."""
-    lengths = np.array(sorted(counts))
-    need = np.array([counts[int(x)] for x in lengths], float)
-    bins = max(1.0, (lengths * need).sum() / capacity)
-    cover, step, used = np.zeros(len(lengths)), bins / rounds, []
-    eta = np.log(len(lengths) + 2) * 6
+        best[c] = max(best[c - 1], (best[c - 1 :: -1] + weight[1 : c + 1]).max())
+    return best
+
+
+def solve(need: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[Config, float]]:
+    """Configurations and their fractional numbers for the linear program min sum x_c subject to
+    sum a_cL x_c = n_L over every length L of the histogram ``need``, by multiplicative weights.
+
+    A length's price is its size (dearer the longer it is, so that short pieces last) times
+    exp(-eta * covered share). Each round prices all fillings by one knapsack program, then takes
+    the best configuration around each length, where that is within ``SLACK`` of the best of all,
+    and moves along it by up to ``STEP`` of what its lengths need."""
+    size, cover, used = np.arange(capacity + 1.0), np.zeros(capacity + 1), defaultdict(float)
+    share = np.where(need > 0, 1 / np.maximum(need, 1), 0)
     for _ in range(rounds):
-        weight = np.exp(-eta * np.minimum(cover / need, 1.5)) / need
-        # lengths that are covered have no price; long items break ties
-        weight[cover >= need] = 0
-        if not weight.any():
+        short = (need > 0) & (cover < need - 1e-9)
+        if not short.any():
+            break
+        weight = np.where(short, size * (1 + LONGER * size / capacity) * np.exp(-ETA * cover * share), 0)
+        best = prices(weight, capacity)
+        value = np.where(short, weight + best[::-1], -1)
+        room = np.where(short, np.minimum(np.maximum(need * STEP, 1.0), need - cover), 0)
+        offer = np.where(room > 1e-9, weight, -np.inf)
+        for first in np.argsort(-value, kind="stable").tolist():
+            if value[first] < (1 - SLACK) * best[capacity]:
+                break
+            # no more is lost than one token's worth
+            while room[first] > 1e-9 and (config := _around(first, best, offer, room, value[first] - 1)):
+                x = min(room[k] / n for k, n in config.items())
+                for k, n in config.items():
+                    room[k] -= x * n
+                    cover[k] += x * n
+                    if room[k] <= 1e-9:
+                        offer[k] = -np.inf
+                used[tuple(sorted(config.items()))] += x
+    return sorted(used.items(), key=lambda c: (-_load(c[0]), -c[1], c[0]))
+
+
+def _around(first: int, best: np.ndarray, offer: np.ndarray, room: np.ndarray, least: float) -> Config | None:
+    """A configuration with a piece of length ``first`` and a weight of at least ``least``, traced
+    through the knapsack program ``best`` along lengths that have room left."""
+    config, left, got, hidden, k = defaultdict(int), len(best) - 1, 0.0, [], first
+    while True:
+        config[k] += 1
+        got, left = got + offer[k] if offer[k] > -np.inf else got, left - k
+        if config[k] + 1 > room[k]:
+            hidden.append((k, offer[k]))
+            offer[k] = -np.inf
+        if left <= 0:
             break
-        weight += 1e-9 * weight.max() * lengths
-        config = knapsack(weight, lengths, capacity)
-        a = np.array([config.get(int(x), 0) for x in lengths])
-        on = a > 0
-        x = min(step, max(((need - cover)[on] / a[on]).min(), step * 0.05))
-        cover += a * x
-        used.append((config, x))
-    return used
+        v = best[left - 1 :: -1] + offer[1 : left + 1]
+        j = int(v.argmax())
+        if got + v[j] < least:
+            break
+        k = j + 1
+    for k, w in hidden:
+        offer[k] = w
+    return config if got >= least else None
+
+
+def _load(config) -> int:
+    return sum(k * n for k, n in config)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
@@ -171,27 +203,29 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int]
     return [x for room in rooms for x in groups[room]]
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = 600, classes: int = 192) -> list[tuple[dict[int, int], int]]:
-    """(configuration, number of sequences), covering the histogram exactly. The linear program
-    is over the ``classes`` most frequent lengths (rare ones have too few pieces to survive the
-    rounding down, and pieces under a sixteenth of a sequence are kept to fill gaps). Of its
-    configurations those without waste are rounded down; what is left is packed by best fit.
-    Plain best fit stands in where it needs fewer sequences."""
-    counts = {int(k): int(v) for k, v in counts.items() if v}
-    if not counts:
-        return []
-    plain = best_fit(counts, capacity)
-    left, out = dict(counts), []
-    small = dict(sorted(((k, v) for k, v in left.items() if capacity // 16 <= k < capacity and v > 1), key=lambda x: (-x[1], x[0]))[:classes])
-    if small:
-        for config, x in sorted(solve(small, capacity, rounds), key=lambda c: -c[1]):
-            n = min([int(x + 1e-9), *(left[k] // a for k, a in config.items())])
-            if n and sum(k * a for k, a in config.items()) == capacity:
-                out.append((dict(config), n))
-                for k, a in config.items():
-                    left[k] -= n * a
-    out += best_fit({k: v for k, v in left.items() if v}, capacity)
-    return min(out, plain, key=lambda p: sum(n for _, n in p))
+def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, passes: int = PASSES) -> tuple[list[tuple[dict[int, int], int]], int]:
+    """(configuration, number of sequences), covering the histogram exactly, and how many entries of
+    that list, from its start, come from the linear program.
+
+    The program over all lengths is solved; its configurations, the fullest first, are rounded up
+    as far as their pieces last, if they are at least as full as the solution is on average. What
+    that leaves is solved again, ``passes`` times in all, and the last residue packed best-fit."""
+    left = np.zeros(capacity + 1)
+    for k, v in counts.items():
+        left[int(k)] = int(v)
+    out: dict[tuple, int] = defaultdict(int)
+    for _ in range(passes):
+        found = solve(left, capacity, rounds)
+        if not found:
+            break
+        average = sum(x * _load(c) for c, x in found) / sum(x for _, x in found)
+        for config, x in found:
+            if _load(config) >= average - 1e-9 and (n := int(min(np.ceil(x - 1e-9), *(left[k] // m for k, m in config)))):
+                out[config] += n
+                for k, m in config:
+                    left[k] -= n * m
+    rest = best_fit({int(k): int(left[k]) for k in np.flatnonzero(left)}, capacity)
+    return [(dict(c), n) for c, n in out.items()] + rest, len(out)
 
 
 def slots(packed: list[tuple[dict[int, int], int]]) -> pd.DataFrame:
@@ -225,7 +259,7 @@ def _placer(table: pd.DataFrame):
     return place
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0, rounds: int = 600) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0, rounds: int = ROUNDS) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its token ids and ``end_id``; null or empty texts are that one id. Documents of
@@ -241,7 +275,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = by_part.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     counts = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    table = slots(plan(counts, capacity, rounds))
+    table = slots(plan(counts, capacity, rounds)[0])
     ranked = pieces.join(base, ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("ord")).alias("rank"))
     return ranked.mapInArrow(_placer(table), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -335,19 +335,41 @@ def test_packing(spark, sf_dir):
 
 def test_packing_plan_covers():
     rng = random.Random(1)
+    hs = [{60: 100}, {60: 100, 40: 50}, {34: 300}, {51: 7, 49: 3, 50: 5}, {100: 3}, {1: 5}, {99: 10, 2: 10}]
     for n in (1, 50, 20_000):
         h = {}
         for _ in range(n):
             k = min(100, max(1, int(rng.lognormvariate(3, 0.8))))
             h[k] = h.get(k, 0) + 1
-        p, back = packing.plan(h, 100, 200), {}
+        hs.append(h)
+    for h in hs:
+        (p, planned), back = packing.plan(h, 100), {}
         for config, m in p:
             assert sum(k * a for k, a in config.items()) <= 100
             for k, a in config.items():
                 back[k] = back.get(k, 0) + a * m
-        assert back == h and sum(m for _, m in p) <= 1.05 * sum(k * v for k, v in h.items()) / 100 + 1
-    w, lengths = np.array([3.0, 4.0, 10.0]), np.array([3, 4, 9])
-    assert packing.knapsack(w, lengths, 10) in ({9: 1}, {3: 2, 4: 1})
+        assert back == h and sum(m for _, m in p) <= sum(m for _, m in packing.best_fit(h, 100)) and planned <= len(p)
+    weight = np.zeros(11)
+    weight[[3, 4, 9]] = 3.0, 4.0, 10.0
+    assert packing.prices(weight, 10).tolist() == [0, 0, 0, 3, 4, 4, 6, 7, 8, 10, 10]
+    assert packing.plan({}) == ([], 0)
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_packing_comes_from_the_program(sf):
+    """On real histograms at least nine tenths of the sequences are configurations of the linear program, and
+    there are no more than the tokens need."""
+    import pyarrow.parquet as pq
+
+    tok, counts = packing.tokenizer(), {}
+    for t in pq.read_table(f"/root/testdata/sf{sf}/documents.parquet", columns=["text"]).column(0).to_pylist():
+        n = len(tok.encode(t or "")) + 1
+        for k, m in ((2048, (n - 1) // 2048), ((n - 1) % 2048 + 1, 1)):
+            counts[k] = counts.get(k, 0) + m
+    packed, planned = packing.plan(counts)
+    total = sum(n for _, n in packed)
+    assert sum(n for _, n in packed[:planned]) >= 0.9 * total
+    assert total == -(-sum(k * n for k, n in counts.items()) // 2048)
 
 
 def test_tokenizer_equals_library():
