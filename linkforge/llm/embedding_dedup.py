@@ -1,14 +1,15 @@
 """Embedding near-dedup with hierarchical navigable small-world graphs.
 
-Vectors of one label are dealt into shards by a hash; each shard is built into an HNSW graph, and
-every vector of the label queries every shard, in blocks. Searches run for a block of queries at
-a time as array operations. The beam of a shard is the one that finds all hits of 512 searches
-from near its own vectors, so it does not depend on how many queries have hits there. A query
-whose beam is full of hits is searched again with a wider one; then a sample of the block's
-queries is compared with brute force over the shard, and the beam of this and later blocks widens
-until that audit finds nothing missing. Hits are verified by the
-cosine in double precision. Equal vectors are one class, so a vector that a third of all rows
-share is one node with a count.
+Vectors of one label are dealt into shards by a hash; each shard is built into an HNSW graph once,
+which is written to the shared folder, and every vector of the label queries every shard, in blocks.
+A unit of work is one graph with ``TURN`` blocks, so a hot label is as many units as it needs, and a
+graph travels once a unit, not once a block. Searches run for a block of queries at a time as array
+operations. The beam of a shard is the one that finds all hits of 512 searches from near its own
+vectors, so it does not depend on how many queries have hits there. A query whose beam is full of
+hits is searched again with a wider one; then a sample of the block's queries is compared with brute
+force over the shard, and the beam of this and later blocks widens until that audit finds nothing
+missing. Hits are verified by the cosine in double precision. Equal vectors are one class, so a
+vector that a third of all rows share is one node with a count.
 """
 
 from __future__ import annotations
@@ -18,144 +19,136 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialise, union_forest
+from .common import connected_components, materialise, shuffle_parts, small_batches, union_forest
 
 LEAST = 0.98
-#: Vectors a graph, and queries a block.
-SHARD, BLOCK = 4096, 1024
-M, BUILD_BEAM, BEAM = 12, 48, 48
+#: Vectors a graph at most, and bytes of one; queries a block, and blocks that share a graph's trip.
+SHARD, SHARD_BYTES, BLOCK, TURN = 32_768, 24 << 20, 1024, 8
+#: Neighbours a node (twice as many at the bottom), nearest others that they are chosen from, first
+#: beam, and nodes of a beam that one step opens.
+M, CANDIDATES, BEAM, EXPAND = 12, 48, 48, 6
 #: Searches that set a shard's beam, each with at least one true hit.
 PROBES = 512
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows at length 1; scaled by their largest component first, so that squares stay finite."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _linked(x: np.ndarray, wide: int) -> np.ndarray:
+    """Neighbours of each node of one level, -1 where there is none: of its nearest, first those that
+    are nearer to it than to one already chosen (they lead out of a cluster), then the nearest; a
+    quarter is left for links back."""
+    n = len(x)
+    near = np.full((n, wide), -1, np.int32)
+    if n < 2:
+        return near
+    k = min(max(CANDIDATES, wide), n - 1)
+    step = max(16, (4 << 20) // n)
+    for i in range(0, n, step):
+        sims = x[i : i + step] @ x.T
+        b = len(sims)
+        sims[np.arange(b), np.arange(i, i + b)] = -3
+        ids = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+        sims = np.take_along_axis(sims, ids, 1)
+        at = np.argsort(-sims, axis=1)
+        ids, sims = np.take_along_axis(ids, at, 1), np.take_along_axis(sims, at, 1)
+        between = x[ids] @ x[ids].transpose(0, 2, 1)
+        chosen, closest, count = np.zeros((b, k), bool), np.full((b, k), -3.0, np.float32), np.zeros(b, int)
+        for c in range(k):
+            on = (sims[:, c] > closest[:, c]) & (count < wide // 2)
+            chosen[on, c] = True
+            count += on
+            closest[on] = np.maximum(closest[on], between[on, c])
+        at = np.argsort(np.where(chosen, 0, 1), axis=1, kind="stable")[:, : wide - wide // 4]
+        near[i : i + b, : at.shape[1]] = np.take_along_axis(ids, at, 1)
+    src, dst = np.repeat(np.arange(n), wide), near.ravel()
+    on = dst >= 0
+    src, dst = src[on], dst[on]
+    on = ~(near[dst] == src[:, None]).any(axis=1)
+    at = np.random.default_rng(3).permutation(int(on.sum()))
+    src, dst = src[on][at], dst[on][at]
+    at = np.argsort(dst, kind="stable")
+    src, dst = src[at], dst[at]
+    slot = np.arange(len(dst)) - np.searchsorted(dst, np.arange(n))[dst] + (near >= 0).sum(axis=1)[dst]
+    on = slot < wide
+    near[dst[on], slot[on]] = src[on]
+    return near
+
+
 class Graph:
-    """HNSW over unit vectors. ``near[l]`` has up to M (2 M at the bottom) neighbours of each
-    node, -1 where there is none. Nodes are inserted in blocks that double: a block searches the
-    graph so far and links to what it finds and to its own nearest members."""
-
-    def __init__(self, x: np.ndarray, seed: int = 1):
-        self.x = x
-        n = len(x)
-        rng = np.random.default_rng(seed)
-        self.level = np.minimum((-np.log(rng.random(n) + 1e-12) / np.log(M)).astype(int), 6)
-        if n:
-            self.level[0] = self.level.max()
-        order = np.argsort(-self.level, kind="stable")
-        self.x, self.level, self.order = x[order], self.level[order], order
-        top = int(self.level[0]) if n else 0
-        self.near = []
-        for lv in range(top + 1):
-            self.near.append(np.full((int((self.level >= lv).sum()), 2 * M if lv == 0 else M), -1, np.int32))
-        # higher nodes come first, so each level is a prefix of the one below
-        for lv in range(top, -1, -1):
-            self._fill(lv)
-
-    def _fill(self, lv: int):
-        near, x, wide = self.near[lv], self.x, self.near[lv].shape[1]
+    """HNSW over unit vectors, in the order that ``layout`` gives: higher nodes come first, so each
+    level is a prefix of the one below. ``near[l]`` has the neighbours of its nodes."""
+
+    def __init__(self, x: np.ndarray, near: list[np.ndarray]):
+        self.x, self.near = x, near
+
+    @staticmethod
+    def layout(n: int, seed: int = 1) -> tuple[np.ndarray, list[int]]:
+        """Order of n vectors and the number of nodes of each level, the bottom first."""
+        level = np.minimum((-np.log(np.random.default_rng(seed).random(n) + 1e-12) / np.log(M)).astype(int), 6)
+        return np.argsort(-level, kind="stable"), [int((level >= v).sum()) for v in range(int(level.max(initial=0)) + 1)]
+
+    @classmethod
+    def build(cls, x: np.ndarray, sizes: list[int]) -> Graph:
+        return cls(x, [_linked(x[:n], M if lv else 2 * M) for lv, n in enumerate(sizes)])
+
+    def _search(self, q: np.ndarray, lv: int, beam: int, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best-first search of a block at one level; ids and similarities, best first."""
+        near, x, b = self.near[lv], self.x, len(q)
         n = len(near)
-        done = min(n, 64)
-        if done > 1:
-            sims = x[:done] @ x[:done].T
-            np.fill_diagonal(sims, -2)
-            k = min(wide, done - 1)
-            near[:done, :k] = np.argsort(-sims, axis=1)[:, :k]
-        while done < n:
-            block = np.arange(done, min(n, done + min(done, 512)))
-            ids, sims = self._search(x[block], lv, BUILD_BEAM, done, 0)
-            own = x[block] @ x[block].T
-            np.fill_diagonal(own, -2)
-            ids = np.concatenate([ids, np.broadcast_to(block, own.shape)], axis=1)
-            sims = np.concatenate([sims, own], axis=1)
-            k = min(wide, ids.shape[1])
-            at = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-            mine, got = np.take_along_axis(ids, at, 1), np.take_along_axis(sims, at, 1)
-            mine[got <= -2] = -1
-            near[block, :k] = mine
-            self._back(near, mine, block, done + len(block))
-            done += len(block)
-
-    def _back(self, near: np.ndarray, mine: np.ndarray, block: np.ndarray, n: int):
-        """Links back; a node with too many keeps the nearest half and, so that clusters stay
-        joined, the newest others."""
-        src = np.repeat(block, mine.shape[1])
-        dst = mine.ravel()
-        src, dst = src[dst >= 0], dst[dst >= 0]
-        order = np.argsort(dst, kind="stable")
-        src, dst = src[order], dst[order]
-        at = np.searchsorted(dst, np.unique(dst))
-        wide = near.shape[1]
-        for s, e in zip(at, np.append(at[1:], len(dst)), strict=True):
-            d = dst[s]
-            all_ = np.unique(np.concatenate([near[d][near[d] >= 0], src[s:e]]))
-            all_ = all_[all_ != d]
-            if len(all_) > wide:
-                sims = self.x[all_] @ self.x[d]
-                rank = np.argsort(-sims)
-                keep = rank[: wide // 2]
-                rest = rank[wide // 2 :]
-                spread = rest[np.linspace(0, len(rest) - 1, wide - len(keep)).astype(int)]
-                all_ = all_[np.unique(np.concatenate([keep, spread]))]
-            near[d] = -1
-            near[d, : len(all_)] = all_
-
-    def _search(self, q: np.ndarray, lv: int, beam: int, n: int, entry):
-        """Best-first search of a block at one level among the first n nodes; ids and
-        similarities, best first. ``entry``: start node(s)."""
-        near, x = self.near[lv], self.x
-        b = len(q)
         beam = min(beam, n)
-        start = np.broadcast_to(np.asarray(entry), (b,)).astype(np.int64)
-        ids, sims = np.full((b, beam), -1, np.int64), np.full((b, beam), -3.0, np.float32)
-        ids[:, 0], sims[:, 0] = start, np.einsum("ij,ij->i", q, x[start])
-        open_ = np.zeros((b, beam), bool)
-        open_[:, 0] = True
-        seen = np.zeros((b, n), bool)
-        seen[np.arange(b), start] = True
+        ids, sims, fresh = np.full((b, beam), -1, np.int64), np.full((b, beam), -3.0, np.float32), np.zeros((b, beam), bool)
+        ids[:, 0], sims[:, 0], fresh[:, 0] = entry, np.einsum("ij,ij->i", q, x[entry]), True
+        seen = np.zeros(b * n, bool)
+        seen[np.arange(b) * n + entry] = True
         live = np.arange(b)
         while len(live):
-            s = np.where(open_[live], sims[live], -4)
-            pick = s.argmax(axis=1)
-            go = s[np.arange(len(live)), pick] > -3
-            live, pick = live[go], pick[go]
+            s = np.where(fresh[live], sims[live], -4)
+            e = min(EXPAND, beam)
+            pick = np.argpartition(-s, e - 1, axis=1)[:, :e]
+            good = np.take_along_axis(s, pick, 1) > -3
+            go = good.any(axis=1)
+            live, pick, good = live[go], pick[go], good[go]
             if not len(live):
                 break
-            node = ids[live, pick]
-            open_[live, pick] = False
-            nb = near[node]
-            ok = (nb >= 0) & (nb < n)
-            nb = np.where(ok, nb, 0)
-            ok &= ~seen[live[:, None], nb]
-            r, c = np.nonzero(ok)
-            if not len(r):
+            nb = np.where(good[:, :, None], near[np.where(good, ids[live[:, None], pick], 0)], -1).reshape(len(live), -1)
+            fresh[live[:, None], pick] = False
+            r, c = np.nonzero(nb >= 0)
+            cell = live[r] * n + nb[r, c]
+            cell = np.unique(cell[~seen[cell]])
+            if not len(cell):
                 continue
-            seen[live[r], nb[r, c]] = True
-            got = np.full(nb.shape, -3.0, np.float32)
-            got[r, c] = np.einsum("ij,ij->i", q[live[r]], x[nb[r, c]])
-            better = (got > sims[live].min(axis=1)[:, None]).any(axis=1)
-            rows, got, nb = live[better], got[better], nb[better]
-            if not len(rows):
-                continue
-            s = np.concatenate([sims[rows], got], axis=1)
-            i = np.concatenate([ids[rows], np.where(got > -3, nb, -1)], axis=1)
-            o = np.concatenate([open_[rows], got > -3], axis=1)
+            seen[cell] = True
+            r, node = np.divmod(cell, n)
+            got = np.einsum("ij,ij->i", q[r], x[node])
+            rows, first, at = np.unique(r, return_index=True, return_inverse=True)
+            col = beam + np.arange(len(r)) - first[at]
+            shape = (len(rows), int(col.max()) + 1)
+            s, i, o = np.full(shape, -3.0, np.float32), np.full(shape, -1, np.int64), np.zeros(shape, bool)
+            s[:, :beam], i[:, :beam], o[:, :beam] = sims[rows], ids[rows], fresh[rows]
+            s[at, col], i[at, col], o[at, col] = got, node, True
             at = np.argpartition(-s, beam - 1, axis=1)[:, :beam]
-            sims[rows], ids[rows], open_[rows] = (np.take_along_axis(v, at, 1) for v in (s, i, o))
+            sims[rows], ids[rows], fresh[rows] = (np.take_along_axis(v, at, 1) for v in (s, i, o))
         at = np.argsort(-sims, axis=1)
         return np.take_along_axis(ids, at, 1), np.take_along_axis(sims, at, 1)
 
-    def search(self, q: np.ndarray, beam: int):
-        entry = np.zeros(len(q), np.int64)
-        for lv in range(len(self.near) - 1, 0, -1):
-            ids, _ = self._search(q, lv, 4, len(self.near[lv]), entry)
-            entry = ids[:, 0]
-        ids, sims = self._search(q, 0, beam, len(self.x), entry)
-        return np.where(ids >= 0, self.order[ids], -1), sims
+    def search(self, q: np.ndarray, beam: int, entry: np.ndarray | None = None):
+        """``entry``: nodes of the graph to start from, else the descent through its levels."""
+        if entry is None:
+            entry = np.zeros(len(q), np.int64)
+            for lv in range(len(self.near) - 1, 0, -1):
+                entry = self._search(q, lv, 4, entry)[0][:, 0]
+        return self._search(q, 0, beam, entry)
 
 
-def hits(graph: Graph, x: np.ndarray, q: np.ndarray, least: float, beam: int = BEAM, audit: int = 32) -> tuple[np.ndarray, np.ndarray, int]:
+def hits(graph: Graph, q: np.ndarray, least: float, beam: int = BEAM, audit: int = 32, entry: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """(query, node) pairs with a float cosine of about ``least`` or more, and the beam that
     passed the audit. The last resort, from beams of an eighth of the shard on, is exhaustive: that
     costs less than such a search."""
+    x = graph.x
     n, slack = len(x), least - 1e-4
     step = max(1, len(q) // audit)
     sample = np.arange(0, len(q), step)
@@ -163,141 +156,165 @@ def hits(graph: Graph, x: np.ndarray, q: np.ndarray, least: float, beam: int = B
     while True:
         found_q, found_n, left, width = [], [], np.arange(len(q)), beam
         while len(left):
-            if width * 8 >= n:
-                r, c = np.nonzero(q[left] @ x.T >= slack)
-                found_q.append(left[r])
-                found_n.append(c)
-                break
-            full = []
-            for i in range(0, len(left), 512):
-                rows = left[i : i + 512]
-                ids, sims = graph.search(q[rows], width)
+            full, rows_at_once = [], max(16, (8 << 20) // n)
+            for i in range(0, len(left), rows_at_once):
+                rows = left[i : i + rows_at_once]
+                if width * 8 >= n:
+                    r, c = np.nonzero(q[rows] @ x.T >= slack)
+                    found_q.append(rows[r])
+                    found_n.append(c)
+                    continue
+                ids, sims = graph.search(q[rows], width, None if entry is None else entry[rows])
                 more = sims[:, -1] >= slack  # nothing but hits: there may be others
                 r, c = np.nonzero((sims >= slack) & (ids >= 0) & ~more[:, None])
                 found_q.append(rows[r])
                 found_n.append(ids[r, c])
                 full.append(rows[more])
-            left, width = np.concatenate(full), width * 4
+            left, width = np.concatenate(full) if full else left[:0], width * 4
         a, b = np.concatenate(found_q), np.concatenate(found_n)
-        got = np.zeros((len(q), 1), bool)
         got = np.zeros(truth.shape, bool)
-        on = (a % step == 0) & (a // step < len(sample))
+        on = a % step == 0
         got[a[on] // step, b[on]] = True
         if (got | ~truth).all() or beam * 8 >= n:
             return a, b, beam
         beam *= 2
 
 
-def probed_beam(graph: Graph, x: np.ndarray, least: float, probes: int = PROBES) -> int:
+def probed_beam(graph: Graph, least: float, probes: int = PROBES) -> int:
     """The beam that finds every true hit of searches from near the shard's own vectors, at cosines
     of ``least`` to 1 with them. Each has a hit, however few queries of real blocks do."""
     rng = np.random.default_rng(7)
-    own = x[rng.permutation(len(x))[:probes]].astype(np.float64)
+    own = graph.x[rng.permutation(len(graph.x))[:probes]].astype(np.float64)
     off = rng.normal(size=own.shape)
     off -= np.einsum("ij,ij->i", off, own)[:, None] * own
     off /= np.maximum(np.linalg.norm(off, axis=1, keepdims=True), 1e-9)
     cos = rng.uniform(least, 1, (len(own), 1))
     q = cos * own + np.sqrt(1 - cos**2) * off
     q /= np.linalg.norm(q, axis=1, keepdims=True)
-    return hits(graph, x, q.astype(np.float32), least, audit=len(q))[2]
+    return hits(graph, q.astype(np.float32), least, audit=len(q))[2]
 
 
-def _pack(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    v = t.column("v").combine_chunks()
-    x = np.asarray(v.flatten()).reshape(len(v), -1) if len(v) else np.zeros((0, 1))
-    return t.column("node").to_numpy(), t.column("copies").to_numpy(), x.astype(np.float64)
+ROW = "label string, dim int, part long, block long, nodes binary, copies binary, x binary, near binary, sizes array<int>, beam int"
 
 
-def _blob(_, t):
-    """One row per shard or block: ids, copies and vectors of its members as bytes."""
-    node, copies, x = _pack(t.sort_by("node"))
-    first = {c: t.column(c)[0].as_py() for c in ("label", "dim", "part")}
-    return pa.table({"label": pa.array([first["label"]], pa.int64()), "dim": pa.array([first["dim"]], pa.int32()), "part": pa.array([first["part"]], pa.int64()), "nodes": pa.array([node.astype("<i8").tobytes()], pa.binary()), "copies": pa.array([copies.astype("<i8").tobytes()], pa.binary()), "x": pa.array([x.astype("<f8").tobytes()], pa.binary())})
+def _built(least: float):
+    def build(_, t):
+        """A shard's graph (block -1), then its vectors in blocks, both in the order of the graph."""
+        t = t.sort_by("node")
+        v = t.column("v").combine_chunks()
+        order, sizes = Graph.layout(len(v))
+        x = unit(np.asarray(v.flatten(), np.float64).reshape(len(v), -1))[order]
+        node, copies = (t.column(c).to_numpy()[order].astype("<i8") for c in ("node", "copies"))
+        graph = Graph.build(x.astype(np.float32), sizes)
+        beam = probed_beam(graph, least)
+        first = [t.column(c)[0].as_py() for c in ("label", "dim", "part")]
+        near = np.concatenate([a.ravel() for a in graph.near]).astype("<i4").tobytes()
+        rows = [(*first, -1, node.tobytes(), copies.tobytes(), x.tobytes(), near, sizes, beam)]
+        for b, i in enumerate(range(0, len(x), BLOCK)):
+            rows.append((*first, b, node[i : i + BLOCK].tobytes(), None, x[i : i + BLOCK].tobytes(), None, None, None))
+        kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4, pa.list_(pa.int32()), pa.int32()]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[c.split()[0] for c in ROW.split(", ")])
+
+    return build
 
 
 def _search(least: float):
-    def run(_, t):
-        """One shard with some blocks of queries: links of each query with the shard."""
-        dim = t.column("dim")[0].as_py()
-        ids = np.frombuffer(t.column("nodes")[0].as_py(), "<i8")
-        copies = np.frombuffer(t.column("copies")[0].as_py(), "<i8")
-        x = np.frombuffer(t.column("x")[0].as_py(), "<f8").reshape(-1, dim)
-        exact = x / np.linalg.norm(x, axis=1, keepdims=True)
-        unit = exact.astype(np.float32)
-        graph = Graph(unit)
-        beam = probed_beam(graph, unit, least)
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for r in range(t.num_rows):
-            qids = np.frombuffer(t.column("qnodes")[r].as_py(), "<i8")
-            q = np.frombuffer(t.column("qx")[r].as_py(), "<f8").reshape(-1, dim)
-            q = q / np.linalg.norm(q, axis=1, keepdims=True)
-            a, b, beam = hits(graph, unit, q.astype(np.float32), least, beam)
-            real = np.einsum("ij,ij->i", q[a], exact[b]) >= least
-            a, b = a[real], b[real]
-            other = qids[a] != ids[b]
-            a, b = a[other], b[other]
-            n = np.bincount(a, weights=copies[b], minlength=len(qids)).astype(np.int64)
-            # a spanning forest of the links stands for them
-            names, at = np.unique(np.concatenate([qids, ids]), return_inverse=True)
-            up = union_forest(len(names), at[a], at[len(qids) + b])
-            root = names[up[at[: len(qids)]]]
-            out.append((qids, n, root))
-            mine = names[up[at[len(qids) :]]]
-            out.append((ids, np.zeros(len(ids), np.int64), mine))
-        node, n, root = (np.concatenate(c) for c in zip(*out, strict=True))
-        keep = (n > 0) | (root != node)
-        return pa.table({"node": pa.array(node[keep]), "n": pa.array(n[keep]), "root": pa.array(root[keep])})
+    """Rows sorted so that a graph comes before the blocks that query it: links of each query."""
+
+    def run(batches):
+        unit_of, graph = None, None
+        for batch in batches:
+            for r in range(batch.num_rows):
+                row = {c: batch.column(c)[r] for c in ("label", "dim", "part", "turn", "block", "from", "nodes", "x")}
+                key = tuple(row[c].as_py() for c in ("label", "dim", "part", "turn"))
+                dim = key[1]
+                qids = np.frombuffer(row["nodes"].as_buffer(), "<i8")
+                q = np.frombuffer(row["x"].as_buffer(), "<f8").reshape(-1, dim)
+                if row["block"].as_py() < 0:
+                    sizes, near, at = batch.column("sizes")[r].as_py(), [], 0
+                    flat = np.frombuffer(batch.column("near")[r].as_buffer(), "<i4")
+                    for lv, n in enumerate(sizes):
+                        wide = M if lv else 2 * M
+                        near.append(flat[at : at + n * wide].reshape(n, wide).copy())
+                        at += n * wide
+                    unit_of, ids, exact = key, qids.copy(), q.copy()
+                    copies = np.frombuffer(batch.column("copies")[r].as_buffer(), "<i8").copy()
+                    graph, beam = Graph(exact.astype(np.float32), near), batch.column("beam")[r].as_py()
+                    continue
+                if key != unit_of:
+                    raise RuntimeError("a block came without its graph")
+                own = row["from"].as_py() == key[2]
+                entry = row["block"].as_py() * BLOCK + np.arange(len(q)) if own else None
+                a, b, beam = hits(graph, q.astype(np.float32), least, beam, entry=entry)
+                real = np.einsum("ij,ij->i", q[a], exact[b]) >= least
+                a, b = a[real], b[real]
+                other = qids[a] != ids[b]
+                a, b = a[other], b[other]
+                n = np.bincount(a, weights=copies[b], minlength=len(qids)).astype(np.int64)
+                # a spanning forest of the links stands for them
+                names, at = np.unique(np.concatenate([qids, ids]), return_inverse=True)
+                up = union_forest(len(names), at[a], at[len(qids) + b])
+                node = np.concatenate([qids, ids])
+                n = np.concatenate([n, np.zeros(len(ids), np.int64)])
+                root = names[up[at]]
+                keep = (n > 0) | (root != node)
+                yield pa.record_batch({"node": pa.array(node[keep]), "n": pa.array(n[keep]), "root": pa.array(root[keep])})
 
     return run
 
 
-def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = LEAST, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = LEAST, shard: int = SHARD) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
-    Vectors are compared if their labels are equal and not null and they have the same number of
-    components. A link is a cosine (double precision) of ``least`` or more. n_links counts linked
-    other rows, component_id is the smallest vec_id reachable by links, kept is
-    vec_id = component_id. Vectors that are null, empty, zero or hold null or non-finite
+    Vectors are compared if their labels (of any simple type) are equal and not null and they have
+    the same number of components. A link is a cosine (double precision) of ``least`` or more.
+    n_links counts linked other rows, component_id is the smallest vec_id reachable by links, kept
+    is vec_id = component_id. Vectors that are null, empty, zero or hold null or non-finite
     components link with nothing; so do null labels. Rows that repeat an id count as rows of
     their own; rows with a null id are linked, and have the component of their class. Other
-    columns are not read. An empty table gives no rows.
+    columns are not read. An empty table gives no rows. Equal vectors are told by a 128-bit digest.
     """
-
+    spark = vectors.sparkSession
+    small_batches(spark)
     v = F.col(vector_col).cast("array<double>")
     usable = (
         F.col(label_col).isNotNull() & (F.size(v) > 0)
         & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists(v, lambda c: c != 0)
     )
-    base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"), v.alias("v"), F.coalesce(usable, F.lit(False)).alias("ok"))
-    # equal vectors of a label are one node, named by a hash of both
-    name = F.xxhash64("label", F.transform("v", lambda c: c + 0.0))
-    rows = base.select("vec_id", F.when(F.col("ok"), name).alias("node"), "label", "v")
-    named = rows.where("node is not null").withColumn("dim", F.size("v"))
-    nodes = materialise(
-        named.groupBy("node", "label", "dim").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least_id"), F.first("v").alias("v")), "hnsw-nodes")
+    label = F.col(label_col)
+    if dict(vectors.dtypes)[label_col] in ("float", "double"):
+        label = label + F.lit(0.0)  # -0.0 equals 0.0
+    base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), label.cast("string").alias("label"), v.alias("v"), F.coalesce(usable, F.lit(False)).alias("ok"))
+    plain = F.transform("v", lambda c: c + 0.0)
+    rows = base.select("vec_id", "ok", "label", "v", F.when(F.col("ok"), F.xxhash64("label", plain)).alias("h1"), F.when(F.col("ok"), F.xxhash64(F.lit("b"), plain, "label")).alias("h2"))
+    # equal vectors of a label are one node; its number is fixed when it is written
+    nodes = rows.where("ok").groupBy("h1", "h2").agg(
+        F.first("label").alias("label"), F.first("v").alias("v"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least_id"))
+    nodes = materialise(nodes.withColumn("dim", F.size("v")).withColumn("node", F.monotonically_increasing_id()), "hnsw-nodes")
     counts = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
-    dealt = nodes.join(F.broadcast(counts) if counts.count() <= 100_000 else counts, ["label", "dim"])
-    blob = "label long, dim int, part long, nodes binary, copies binary, x binary"
-
-    def group(size: int, salt: int) -> DataFrame:
-        parts = F.ceil(F.col("n") / F.lit(size)).cast("long")
-        part = F.pmod(F.xxhash64("node", F.lit(salt)), parts)
-        return dealt.select("label", "dim", part.alias("part"), "node", "copies", "v").groupBy("label", "dim", "part").applyInArrow(_blob, blob)
-
-    shards = materialise(group(shard, 1), "hnsw-shards")
-    blocks = group(block, 2).select("label", "dim", F.col("part").alias("q"), F.col("nodes").alias("qnodes"), F.col("x").alias("qx"))
-    # a graph is built once for each 8 blocks of queries, and no task holds more
-    met = shards.join(blocks, ["label", "dim"]).withColumn("turn", F.expr("q div 8"))
-    links = materialise(met.groupBy("label", "dim", "part", "turn").applyInArrow(_search(least), "node long, n long, root long"), "hnsw-links")
+    most = F.greatest(F.lit(1), F.least(F.lit(shard), F.floor(F.lit(SHARD_BYTES) / (F.col("dim") * 8 + 8 * M + 16))))
+    counts = counts.select("label", "dim", F.ceil(F.col("n") / most).cast("long").alias("parts"), F.ceil(F.col("n") / F.lit(BLOCK * TURN)).cast("long").alias("turns"))
+    few = counts.count() <= 100_000
+    sized = lambda df: df.join(F.broadcast(counts) if few else counts, ["label", "dim"])
+    dealt = sized(nodes).select("label", "dim", F.pmod(F.xxhash64("node"), "parts").alias("part"), "node", "copies", "v")
+    shards = dealt.groupBy("label", "dim", "part").applyInArrow(_built(least), ROW)
+    shards = sized(materialise(shards, "hnsw-shards", **{"parquet.block.size.row.check.min": 1, "parquet.block.size": 32 << 20}))
+    # every block goes to every shard of its label, a graph to every turn of blocks
+    turn = F.when(F.col("block") < 0, F.col("i")).otherwise(F.pmod(F.xxhash64("part", "block"), "turns"))
+    to = F.when(F.col("block") < 0, F.col("part")).otherwise(F.col("i"))
+    met = shards.withColumn("i", F.explode(F.expr("sequence(0L, if(block < 0, turns, parts) - 1)"))).select(
+        "label", "dim", to.alias("part"), turn.alias("turn"), "block", F.col("part").alias("from"), "nodes", "copies", "x", "near", "sizes", "beam")
+    met = met.repartition(shuffle_parts(spark), "label", "dim", "part", "turn").sortWithinPartitions("label", "dim", "part", "turn", "block")
+    links = materialise(met.mapInArrow(_search(least), "node long, n long, root long"), "hnsw-links")
     found = connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v")))
     ids = found.join(nodes.select("node", "least_id"), "node")
     smallest = ids.groupBy("component").agg(F.min("least_id").alias("component_id"))
     linked = ids.join(smallest, "component").select("node", F.col("component_id").alias("reached"))
     totals = links.groupBy("node").agg(F.sum("n").alias("others"))
     per = (
-        nodes.select("node", "copies", "least_id").join(linked, "node", "left").join(totals, "node", "left")
-        .select(F.col("node").alias("k"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"), F.coalesce("reached", "least_id").alias("c"))
+        nodes.select("node", "h1", "h2", "copies", "least_id").join(linked, "node", "left").join(totals, "node", "left")
+        .select("h1", "h2", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"), F.coalesce("reached", "least_id").alias("c"))
     )
-    out = rows.select("vec_id", "node").join(per, F.col("node") == F.col("k"), "left")
+    out = rows.select("vec_id", "h1", "h2").join(per, ["h1", "h2"], "left")
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

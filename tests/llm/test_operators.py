@@ -100,13 +100,15 @@ def components(ids, links):
 
 
 def test_embeddings_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 20)
+    monkeypatch.setattr(embedding_dedup, "TURN", 2)
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 16))
     v = [(i, (centres[i % 12] + rng.normal(size=16) * 0.12).tolist(), i % 3) for i in range(420)]
     v += [(500 + i, v[7][1], v[7][2]) for i in range(40)]  # a hot vector
     v += [(600, None, 1), (601, [0.0] * 16, 1), (602, [float("nan")] * 16, 1), (603, v[0][1], None), (604, [], 0), (605, [None] * 16, 0), (606, [1.0, 2.0], 0)]
     df = spark.createDataFrame([(*x, 1) for x in v], "vec_id long, embedding array<double>, label int, node int")
-    got = {r.vec_id: r for r in embedding_dedup.embedding_dedup(df, shard=50, block=40).collect()}
+    got = {r.vec_id: r for r in embedding_dedup.embedding_dedup(df, shard=50).collect()}
     links = brute_links(v)
     want = components([x[0] for x in v], links)
     assert len(got) == len(v)
@@ -116,18 +118,54 @@ def test_embeddings_brute_force(spark, monkeypatch):
     assert embedding_dedup.embedding_dedup(df.limit(0)).collect() == []
 
 
+def test_embeddings_extremes(spark):
+    """Huge and tiny components, labels that are not whole numbers, labels that differ by a fraction."""
+    v = [(1, [1e200, 2e200], "a"), (2, [2e200, 4e200], "a"), (3, [1e-200, 1e-200], "a"), (4, [1e-200, 9e-200], "a"), (5, [3e-200, 3e-200], "a"), (6, [-0.0, 1.0], "b"), (7, [0.0, 1.0], "b"), (8, [1.0, 2.0], "c"), (9, None, "a")]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_dedup(spark.createDataFrame(v, "vec_id long, embedding array<double>, label string")).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (0, 4), 5: (1, 3), 6: (1, 6), 7: (1, 6), 8: (0, 8), 9: (0, 9)}
+    v = [(1, [1.0, 2.0], 1.2), (2, [1.0, 2.0], 1.7), (3, [2.0, 4.0], 1.2), (4, [1.0, 2.0], -0.0), (5, [1.0, 2.0], 0.0)]
+    got = {r.vec_id: r.component_id for r in embedding_dedup.embedding_dedup(spark.createDataFrame(v, "vec_id long, embedding array<double>, label double")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 4}
+
+
+def clustered(rng, n, dim=32):
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = rng.normal(size=(n, dim))
+    x[::3] = x[0] + rng.normal(size=(len(x[::3]), dim)) * 0.05  # a dense cluster
+    x[1::5] = np.repeat(rng.normal(size=(len(x[1::5]) // 4 + 1, dim)), 4, 0)[: len(x[1::5])] + rng.normal(size=(len(x[1::5]), dim)) * 0.08
+    return unit(x)
+
+
 def test_graph_recall():
-    rng = np.random.default_rng(1)
-    x = rng.normal(size=(1500, 32)).astype(np.float32)
-    x[::3] = x[0] + rng.normal(size=(500, 32)).astype(np.float32) * 0.05  # a dense cluster
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    a, b, _ = embedding_dedup.hits(embedding_dedup.Graph(x), x, x, 0.98)
+    x = clustered(np.random.default_rng(1), 1500).astype(np.float32)
+    order, sizes = embedding_dedup.Graph.layout(len(x))
+    x = x[order]
+    graph = embedding_dedup.Graph.build(x, sizes)
     want = set(zip(*np.nonzero(x @ x.T >= 0.98 - 1e-4), strict=True))
-    assert len(want & set(zip(a, b, strict=True))) >= 0.999 * len(want)
+    for entry in (None, np.arange(len(x))):
+        a, b, _ = embedding_dedup.hits(graph, x, 0.98, entry=entry)
+        assert len(want & set(zip(a, b, strict=True))) >= 0.999 * len(want)
+
+
+def test_hot_label_recall(spark):
+    """A label of 50,000 vectors over two graphs: no link too many, and nearly none too few."""
+    rng = np.random.default_rng(8)
+    dim, n = 16, 50_000
+    x = rng.normal(size=(n, dim))
+    for c in range(400):  # near copies of 400 vectors, 5 each, anywhere
+        x[1000 + c * 5 : 1005 + c * 5] = x[c] + rng.normal(size=(5, dim)) * 0.04
+    x = x.astype(np.float32).astype(np.float64)
+    table = pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), dim).cast(pa.list_(pa.float64())), "label": np.ones(n, np.int32)})
+    df = spark.createDataFrame(table)
+    got = {r.vec_id: r.n_links for r in embedding_dedup.embedding_dedup(df).collect()}
+    u = embedding_dedup.unit(x)
+    want = np.concatenate([((u[i : i + 1000] @ u.T) >= 0.98).sum(axis=1) - 1 for i in range(0, n, 1000)])
+    assert want.sum() > 4000 and all(got[i] <= want[i] for i in range(n))
+    assert sum(got.values()) >= 0.999 * want.sum()
 
 
 def test_beam_of_sparse_hits():
-    """Islands that a beam of 48 misses, and a block whose sampled queries hit nothing."""
+    """Islands that a small beam misses, and a block whose sampled queries hit nothing."""
     rng = np.random.default_rng(5)
     unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
 
@@ -141,10 +179,12 @@ def test_beam_of_sparse_hits():
     q[::32] = unit(rng.normal(size=(32, 32)))
     want = (q @ x.T >= 0.98).sum(axis=1)
     assert not want[::32].any() and (np.delete(want, np.s_[::32]) > 0).all()
-    blob = lambda v, kind: [v.astype(kind).tobytes()]
-    t = pa.table({"dim": [32], "nodes": blob(np.arange(1024), "<i8"), "copies": blob(np.ones(1024), "<i8"), "x": blob(x, "<f8"), "qnodes": blob(np.arange(1024) + 5000, "<i8"), "qx": blob(q, "<f8")})
-    got = embedding_dedup._search(0.98)(None, t)
-    n = dict(zip(got.column("node").to_pylist(), got.column("n").to_pylist(), strict=True))
+    t = pa.table({"label": ["a"] * 1024, "dim": pa.array([32] * 1024, pa.int32()), "part": [0] * 1024, "node": np.arange(1024), "copies": np.ones(1024, np.int64), "v": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 32)})
+    rows = embedding_dedup._built(0.98)(None, t).to_pylist()[:1]
+    rows.append(rows[0] | {"block": 0, "nodes": (np.arange(1024) + 5000).astype("<i8").tobytes(), "x": q.astype("<f8").tobytes()})
+    rows = [r | {"turn": 0, "from": 1} for r in rows]
+    batch = pa.RecordBatch.from_pylist(rows)
+    n = {a: b for got in embedding_dedup._search(0.98)([batch]) for a, b in zip(got.column("node").to_pylist(), got.column("n").to_pylist(), strict=True)}
     assert [n.get(i + 5000, 0) for i in range(1024)] == want.tolist()
 
 
