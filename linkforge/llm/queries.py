@@ -52,6 +52,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(_read(spark, sf_dir, "documents"))
 
 
+def base_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can express of op6: counts and spans of the fixed patterns."""
+    return op6_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest_docs(_read(spark, sf_dir, "documents"))
 
@@ -70,11 +75,26 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_chat_format, op3_embedding_dedup, op4_substring_dedup, op5_exact_dedup,
-    op6_secret_scan, op7_sentencepiece, op8_url_filter, op9_packing, op10_minhash_dedup,
+    op6_secret_scan, op7_sentencepiece, op8_url_filter, op9_packing, op10_minhash_dedup, base_secrets,
 )}
 
 _ESC = r"replace(replace(replace(text, '\', '\s'), '#', '\h'), '<', '\l')"
+_ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["'']?[ ]*[:=][ ]*["'']?([A-Za-z0-9+/_.=-]+)"""
+# matches and what lies between them, in turn; a match starts after all that comes before it
+_FOUND = "\n  UNION ALL ".join(
+    f"SELECT r, '{kind}' AS kind, {k} AS o, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS ps, {least} AS least FROM t"
+    for k, (kind, p, least) in enumerate((("assign", _ASSIGN, 6), ("access", "AKIA[A-Z0-9]+", 20), ("hex", "[0-9a-f]+", 24)))
+)
 ORACLE_SQL = {
+    "base_secrets": f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({_FOUND}),
+u AS (SELECT r, kind, o, least, unnest(ms) AS m, unnest(list_transform(ms, lambda x: length(x))) AS n, unnest(list_transform(ps[:len(ms)], lambda x: length(x))) AS gap, generate_subscripts(ms, 1) AS k FROM f),
+p AS (SELECT *, sum(gap) OVER w + sum(n) OVER w AS e FROM u WINDOW w AS (PARTITION BY r, kind ORDER BY k)),
+s AS (SELECT r, kind, o, e - n AS b, e FROM p WHERE CASE kind WHEN 'assign' THEN length(regexp_extract(m, '{_ASSIGN}$', 1)) ELSE n END >= least),
+a AS (SELECT r, count(*) FILTER (kind = 'assign') AS x, count(*) FILTER (kind = 'access') AS y, count(*) FILTER (kind = 'hex') AS z,
+  string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, o) AS spans FROM s GROUP BY r)
+SELECT doc_id, coalesce(x, 0) AS n_assign, coalesce(y, 0) AS n_access, coalesce(z, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256 FROM t LEFT JOIN a USING (r)""",
     "op2_chat_format": rf"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
