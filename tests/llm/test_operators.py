@@ -5,6 +5,7 @@ import itertools
 import json
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -80,6 +81,23 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(df.limit(0)).collect() == []
 
 
+def test_chat_of_many_turns(spark):
+    """Linear in the turns: 100,000 in one conversation, and one long text of wide characters."""
+    n = 100_000
+    turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("é#"), F.col("id").cast("string")).alias("text"))
+    long = "\U0001f600<é" * 300_000
+    turns = turns.unionByName(spark.createDataFrame([(2, 0, "assistant", long)], "conv_id int, turn long, role string, text string"))
+    began = time.time()
+    got = {r.conv_id: r for r in chat.digests(chat.format_chats(turns)).collect()}
+    assert time.time() - began < 60
+    said = [f"é#{i}" for i in range(n)]
+    loss = "".join(x for i, x in enumerate(said) if i % 3)
+    assert got[1].n_turns == n and got[1].loss_chars == len(loss) and got[1].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    whole = "".join(f"{'assistant' if i % 3 else 'user'}\n{x}\n" for i, x in enumerate(said))
+    assert got[1].turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
+    assert got[2].loss_sha256 == hashlib.sha256(long.encode()).hexdigest() and got[2].loss_chars == len(long)
+
+
 def brute_links(vectors, least=0.98):
     ok = {i: np.array(v, float) for i, v, label in vectors if v is not None and label is not None and None not in v and np.isfinite(v).all() and np.any(v)}
     labels = {i: label for i, _, label in vectors}
@@ -364,6 +382,16 @@ def test_url_cascade(spark):
     assert url_filter.url_filter(df.limit(0), queries.RULES).collect() == [] and url_filter.url_filter(df, []).where("verdict = 'allow'").count() == len(urls)
 
 
+def test_url_keys_of_long_hosts(spark):
+    """Keys are bounded by the rules: a host of a million characters, labels cut anywhere, empty labels."""
+    urls = ["http://" + "a." * 500_000 + "example.com/en/7", "http://" + "x" * 1_000_000 + ".net/de/8", "http://example.com./en/7", "http://.com/en/", "http://..com/en/", "http://aexample.com/en/7", "http://b.example.com" + "/en/7" * 200_000]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.url_filter(df, queries.RULES).collect()}
+    top, com = ("example.com/en/7", "allow"), ("com/en/", "block")
+    assert got == {0: top, 1: ("net/de/", "allow"), 2: (None, "allow"), 3: com, 4: com, 5: com, 6: top}
+    assert max(len(url_filter.Shapes(queries.RULES).keys("a." * 1000 + "b.example.com", "/en/7")) for _ in (1,)) <= 4
+
+
 def test_cascade_levels():
     listed, rest = [f"l{i}" for i in range(300)], [f"r{i}" for i in range(5000)]
     c, inside, outside = url_filter.Cascade(), listed, rest
