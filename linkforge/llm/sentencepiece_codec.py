@@ -1,10 +1,14 @@
 """SentencePiece encoding and decoding: unigram Viterbi over a double-array trie of pieces with
 log scores, byte fallback, whitespace markers.
 
+The installed model gives the pieces in the order of their merges but no probabilities, so a piece of
+rank r gets the log of its share under Zipf's law, 1 / (r + ``ZIPF``), normalised over all pieces.
+
 A text gets one marker in front; blanks become markers. No piece of the vocabulary has a marker
 after another character (checked when the model is read), so the best segmentation of a text is
 that of its chunks ``marker* other*``, each found once per task and remembered. Chunks that are
-new in a batch go through the Viterbi recursion together, as arrays. Characters that no piece
+new in a batch go through the Viterbi recursion together, as arrays; long ones are first cut between
+characters that stand together in no piece, and go one by one where they stay long. Characters that no piece
 covers, and marker characters that the text itself has, are spelled in byte pieces, so decoding
 gives back exactly the text.
 """
@@ -12,20 +16,24 @@ gives back exactly the text.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import chunks, id_text, text_bytes
 
 MARK = "▁"
 CHUNK = re.compile(r" *[^ ]+| +")
-CACHE = 200_000
-#: Chunks of more bytes are encoded one by one, so that padding stays small.
+#: Bytes of remembered chunks in a worker, with what Python adds to each.
+CACHE, OVERHEAD = 96 << 20, 160
+ZIPF = 2.7
+#: Chunks of more bytes are encoded one by one, so that padding stays small, and aren't remembered.
 LONG = 256
 #: Byte in chunks that stands for a marker character of the text (it is in no UTF-8 string).
 OWN = b"\xff"
@@ -83,35 +91,90 @@ class Codec:
         n = sp.get_piece_size()
         self.byte = np.full(256, -1, np.int32)
         self.text: list[bytes] = [b""] * n
-        self.score = np.zeros(n + 1)
+        self.score = np.full(n + 1, -np.inf)
+        order: list[tuple[float, int]] = []
         pieces: dict[bytes, int] = {}
         for i in range(n):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 self.byte[int(piece[3:5], 16)] = i
                 self.text[i] = bytes([int(piece[3:5], 16)])
+                order.append((math.inf, i))  # after all others
             elif not (sp.is_unknown(i) or sp.is_control(i) or sp.is_unused(i)):
                 self.text[i] = piece.replace(MARK, " ").encode()
-                self.score[i] = sp.get_score(i)
+                order.append((-sp.get_score(i), i))
                 pieces[piece.replace(MARK, " ").encode()] = i
         if any(re.search(rb"[^ ] ", p) for p in pieces):
             raise ValueError("a piece has a marker after another character; chunks would not be exact")
         if (self.byte < 0).any():
             raise ValueError("the model has no byte fallback")
-        self.unknown = min((self.score[i] for i in pieces.values()), default=0.0) - 10.0
+        share = 1 / (np.arange(len(order)) + ZIPF)
+        self.score[[i for _, i in sorted(order)]] = np.log(share / share.sum())
         self.trie = Trie(pieces)
+        inside = {p.decode() for p in pieces}
+        #: pairs of characters that stand together in some piece
+        self.pairs = {p[i : i + 2] for p in inside for i in range(len(p) - 1)}
         self.memo: dict[str, bytes] = {}
+        self.memo_bytes = 0
 
     def __getstate__(self):
-        return self.__dict__ | {"memo": {}}
+        return self.__dict__ | {"memo": {}, "memo_bytes": 0}
+
+    def spelled(self, raw: bytes) -> bytes:
+        """The bytes of a character that byte pieces stand for."""
+        return MARK.encode() if raw == OWN else raw
+
+    @cached_property
+    def lists(self):
+        return self.trie.base.tolist(), self.trie.check.tolist(), self.trie.leaf.tolist(), self.score.tolist()
 
-    def viterbi(self, chunks: list[bytes]) -> list[np.ndarray]:
+    def viterbi_one(self, raw: bytes) -> np.ndarray:
+        """As ``viterbi``, for one chunk, position by position."""
+        base, check, leaf, score = self.lists
+        n, top = len(raw), len(check)
+        best, back, by = [-math.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        best[0] = 0.0
+        for i in range(n):
+            if best[i] == -math.inf or raw[i] & 0xC0 == 0x80:
+                continue
+            end = i + 1
+            while end < n and raw[end] & 0xC0 == 0x80:
+                end += 1
+            state, at, covered = 0, i, False
+            while at < n:
+                nxt = base[state] + raw[at]
+                if nxt >= top or check[nxt] != state:
+                    break
+                state, at = nxt, at + 1
+                piece = leaf[state]
+                if piece >= 0 and (at == n or raw[at] & 0xC0 != 0x80):
+                    covered |= at == end
+                    if best[i] + score[piece] > best[at]:
+                        best[at], back[at], by[at] = best[i] + score[piece], i, piece
+            if not covered:
+                x = best[i] + sum(score[self.byte[c]] for c in self.spelled(raw[i:end]))
+                if x > best[end]:
+                    best[end], back[end], by[end] = x, i, -1
+        return self._path(raw, n, back, by)
+
+    def _path(self, raw: bytes, e: int, back, by) -> np.ndarray:
+        ids: list[int] = []
+        while e > 0:
+            s = int(back[e])
+            if by[e] >= 0:
+                ids.append(int(by[e]))
+            else:
+                ids += [int(self.byte[c]) for c in reversed(self.spelled(raw[s:e]))]
+            e = s
+        return np.array(ids[::-1], "<u4")
+
+    def viterbi(self, raws: list[bytes]) -> list[np.ndarray]:
         """Ids of each chunk: one forward pass over positions for all of them together."""
-        n = len(chunks)
-        size = np.array([len(c) for c in chunks])
+        n = len(raws)
+        size = np.array([len(c) for c in raws])
         width = int(size.max()) if n else 0
         m = np.zeros((n, width + 1), np.uint8)
-        flat = np.frombuffer(b"".join(chunks), np.uint8)
+        flat = np.frombuffer(b"".join(raws), np.uint8)
         at = np.concatenate([[0], np.cumsum(size)])
         m[np.repeat(np.arange(n), size), np.arange(at[-1]) - np.repeat(at[:-1], size)] = flat
         head = (m & 0xC0) != 0x80  # bytes that start a character
@@ -148,40 +211,38 @@ class Codec:
                 for k in range(1, 4):
                     go = (step == k) & (i + k < size[rest]) & ~stop[rest, np.minimum(i + k, width)]
                     step[go] += 1
-                x = best[rest, i] + self.unknown
+                x = best[rest, i].copy()
+                for k in range(4):
+                    x += np.where(k < step, self.score[self.byte[m[rest, np.minimum(i + k, width)]]], 0)
+                own = m[rest, i] == OWN[0]
+                x[own] = best[rest[own], i] + sum(self.score[self.byte[c]] for c in MARK.encode())
                 up = x > best[rest, i + step]
                 r, e = rest[up], (i + step)[up]
                 best[r, e], back[r, e], by[r, e] = x[up], i, -1
-        out = []
-        for k in range(n):
-            e, ids, raw = int(size[k]), [], chunks[k]
-            while e > 0:
-                s = int(back[k, e])
-                if by[k, e] >= 0:
-                    ids.append(int(by[k, e]))
-                else:
-                    spelled = MARK.encode() if raw[s:e] == OWN else raw[s:e]
-                    ids += [int(self.byte[c]) for c in reversed(spelled)]
-                e = s
-            out.append(np.array(ids[::-1], "<u4"))
-        return out
+        return [self._path(raws[k], int(size[k]), back[k], by[k]) for k in range(n)]
+
+    def parts(self, chunk: str) -> list[str]:
+        """Where no piece can cross, a long chunk is cut."""
+        at = [0, *(i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in self.pairs), len(chunk)]
+        return [chunk[i:j] for i, j in zip(at, at[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [CHUNK.findall(" " + t) if t else [] for t in texts]
+        cut = [[p for c in CHUNK.findall(" " + t) for p in (self.parts(c) if len(c) > LONG else (c,))] if t else [] for t in texts]
         memo = self.memo
-        if len(memo) > CACHE:
+        if self.memo_bytes > CACHE:
             memo.clear()
-        new = sorted({c for chunks in cut for c in chunks if c not in memo}, key=len)
-        raw = [c.encode("utf-8", "surrogatepass").replace(MARK.encode(), OWN) for c in new]
-        raw_at = 0
-        while raw_at < len(raw):
-            end = raw_at + 1
-            while end < len(raw) and end - raw_at < 20_000 and len(raw[end]) <= max(LONG, len(raw[raw_at])) and (len(raw[end]) <= LONG or end == raw_at):
-                end += 1
-            for c, ids in zip(new[raw_at:end], self.viterbi(raw[raw_at:end]), strict=True):
+            self.memo_bytes = 0
+        found: dict[str, bytes] = {}
+        new = sorted({c for row in cut for c in row if c not in memo}, key=len)
+        raw = [(c, c.encode("utf-8", "surrogatepass").replace(MARK.encode(), OWN)) for c in new]
+        found = {c: self.viterbi_one(r).tobytes() for c, r in raw if len(r) > LONG}
+        short = [(c, r) for c, r in raw if len(r) <= LONG]
+        for i in range(0, len(short), 20_000):
+            part = short[i : i + 20_000]
+            for (c, _), ids in zip(part, self.viterbi([r for _, r in part]), strict=True):
                 memo[c] = ids.tobytes()
-            raw_at = end
-        return [np.frombuffer(b"".join([memo[c] for c in chunks]), "<u4") for chunks in cut]
+                self.memo_bytes += len(c.encode("utf-8", "surrogatepass")) + len(memo[c]) + OVERHEAD
+        return [np.frombuffer(b"".join([found[c] if c in found else memo[c] for c in row]), "<u4") for row in cut]
 
     def decode(self, ids) -> str:
         """Pieces with markers as blanks, byte pieces as bytes; the marker in front goes."""
@@ -214,8 +275,9 @@ def _coded(docs, path, id_col, text_col, row, kinds, schema):
         codec = shared.value
         names = [x.split()[0] for x in schema.split(", ")]
         for b in batches:
-            for i in range(0, b.num_rows, 500):
-                part = b.slice(i, 500)
+            _, off = text_bytes(b.column(1))
+            for i, j in chunks(off, 1 << 20):
+                part = b.slice(i, j - i)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 found = codec.encode(texts)
                 rows = [row(k, ids, t, codec.decode(ids.tolist())) for k, ids, t in zip(part.column(0).to_pylist(), found, texts, strict=True)]

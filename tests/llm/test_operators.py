@@ -343,33 +343,69 @@ def codec():
     return sentencepiece_codec.Codec(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def best_cost(codec, inv, s):
+    """Best total log probability over all segmentations of one string with its marker in front."""
+    spell = lambda c: sum(codec.score[codec.byte[x]] for x in c.encode())
+    score = [0.0] + [-1e18] * len(s)
+    for i in range(len(s)):
+        for j in range(i + 1, min(len(s), i + 20) + 1):
+            k = inv.get(s[i:j].encode()) if "▁" not in s[i:j] else None
+            if k is not None:
+                score[j] = max(score[j], score[i] + codec.score[k])
+        if inv.get(s[i].encode()) is None or s[i] == "▁":
+            score[i + 1] = max(score[i + 1], score[i] + spell(s[i]))
+    return score[-1]
+
+
+def test_piece_scores_are_log_probabilities(codec):
+    scores = codec.score[np.isfinite(codec.score)]
+    assert len(scores) > 31_000 and scores.max() <= 0 and np.exp(scores).sum() == pytest.approx(1)
+    ids = codec.encode(["unbelievable"])[0].tolist()
+    assert len(ids) <= 5
+
+
 def test_pieces_brute_force(codec):
     import sentencepiece
 
     byte = set(codec.byte.tolist())
     inv = {t: i for i, t in enumerate(codec.text) if t and i not in byte}
-
-    def best(s):
-        score = [0.0] + [-1e18] * len(s)
-        for i in range(len(s)):
-            for j in range(i + 1, min(len(s), i + 20) + 1):
-                k = inv.get(s[i:j].encode()) if "▁" not in s[i:j] else None
-                if k is not None:
-                    score[j] = max(score[j], score[i] + codec.score[k])
-            if inv.get(s[i].encode()) is None or s[i] == "▁":
-                score[i + 1] = max(score[i + 1], score[i] + codec.unknown)
-        return score[-1]
-
     rng = random.Random(4)
-    texts = ["", "hello world", "  two  blanks ", "日本語テキスト", "▁x▁▁", "a\tb\n\n", "y" * 300, "😀 \x00é"]
+    texts = ["", "hello world", "  two  blanks ", "日本語テキスト", "▁x▁▁", "a\tb\n\n", "y" * 300, "😀 \x00é", "z" * 600 + "日本▁語" * 200]
     texts += ["".join(rng.choices("aeinrst .,é▁\n日", k=rng.randrange(1, 30))) for _ in range(200)]
+    texts += ["".join(rng.choices("aeinrst.,é▁\n日ж", k=rng.randrange(258, 400))) for _ in range(10)]  # one long chunk each
     sp = sentencepiece.SentencePieceProcessor(model_file=__import__("public_tokenizers").path("piece_bpe_32k.model"))
     for t, ids in zip(texts, codec.encode(texts), strict=True):
         assert codec.decode(ids.tolist()) == t
-        raw = b"".join(codec.text[i] for i in ids.tolist() if i in byte)
-        assert sum(codec.score[i] for i in ids.tolist() if i not in byte) + codec.unknown * len(raw.decode()) == pytest.approx(best(" " + t) if t else 0)
+        assert sum(codec.score[i] for i in ids.tolist()) == pytest.approx(best_cost(codec, inv, " " + t) if t else 0)
         if not t.startswith(" ") and "▁" not in t:
             assert sp.decode(ids.tolist()) == t
+    for t in texts[1:40]:
+        raw = (" " + t).encode().replace("▁".encode(), sentencepiece_codec.OWN)
+        assert codec.viterbi_one(raw).tolist() == codec.viterbi([raw])[0].tolist()
+
+
+def test_pieces_of_long_texts(codec):
+    """No blanks for 100,000 characters, of a script of one-character pieces and of one without."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("日本語文字列漢中国人大小上下" + chr(0x4E00 + 7000), k=100_000)), "".join(rng.choices("abcdefghij", k=100_000)), " " * 100_000]
+    began = time.time()
+    for t, ids in zip(texts, codec.encode(texts), strict=True):
+        assert codec.decode(ids.tolist()) == t
+    assert time.time() - began < 30
+
+
+def test_pieces_of_the_query(spark, sf_dir, codec):
+    """The query's pieces have the best cost, and their digests are those of its own output."""
+    byte = set(codec.byte.tolist())
+    inv = {t: i for i, t in enumerate(codec.text) if t and i not in byte}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ids = {r.doc_id: r for r in sentencepiece_codec.encode_docs(docs).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in queries.op7_sentencepiece(spark, sf_dir).collect():
+        mine = np.array(ids[r.doc_id].ids, "<u4")
+        assert (r.n_pieces, r.ids_crc32) == (len(mine), zlib.crc32(mine.tobytes())) and r.round_trip and ids[r.doc_id].decoded == texts[r.doc_id]
+        if len(texts[r.doc_id]) < 600 and texts[r.doc_id]:
+            assert sum(codec.score[i] for i in mine.tolist()) == pytest.approx(best_cost(codec, inv, " " + texts[r.doc_id]))
 
 
 def test_url_cascade(spark):
