@@ -1,10 +1,9 @@
-"""Text normalisation and record views as column expressions. Only non-ASCII strings ever reach
-Python (an Arrow UDF that folds case and strips combining marks)."""
+"""Text normalisation and record views as column expressions. Non-ASCII strings are folded
+by an Arrow UDF (case, combining marks); it is given nulls for all others."""
 
 from __future__ import annotations
 
 import unicodedata
-from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column
@@ -83,16 +82,6 @@ def selected(ts: Column, ignored: list[str], most: int) -> Column:
     return F.slice(F.transform(ranked, lambda s: s["v"]), 1, most)
 
 
-@dataclass(frozen=True)
-class View:
-    """Columns of a blocking view."""
-
-    name: str = "nt"
-    address: str = "at"
-    number: str = "num"
-    country: str = "ctry"
-
-
 def record_view(df, id_col="entity_id", keep=()):
     """Entities to their blocking view: id, nt (up to 4 name tokens), at (up to 3 address tokens),
     num (first short number of the address), ctry."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.normalize import raw_house_number
 from ..functions.similarity import jaccard, overlap, ratios
 
+# Names and order of the features, and the constants of the scores below.
 FEATURES = [
     "country_match", "name_exact", "name_jaccard", "name_overlap", "name_fuzz_ratio", "name_token_sort_ratio", "name_token_set_ratio",
     "name_len_diff", "name_token_count_diff", "name_legal_suffix_status", "addr_exact", "addr_jaccard", "addr_overlap", "addr_fuzz_ratio",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# The thresholds that sweeps report.
 BASELINE_THRESHOLDS = [0.50, 0.55, 0.60, 0.65, 0.70, 0.75, 0.80, 0.85, 0.90, 0.95]
 MODEL_THRESHOLDS = [0.30, 0.35, 0.40, 0.45, 0.50, 0.55, 0.60, 0.65, 0.70, 0.75, 0.80, 0.85, 0.90]
 
@@ -15,17 +16,6 @@ def f05(gold: Column, predicted: Column, hit: Column) -> Column:
     return F.when((gold == 0) & (predicted == 0), 1.0).when((gold == 0) | (predicted == 0) | (hit == 0), 0.0).otherwise(1.25 * p * r / (0.25 * p + r))
 
 
-def entity_f05(gold: set, predicted: set) -> float:
-    """The same for two Python sets."""
-    if not gold and not predicted:
-        return 1.0
-    hit = len(gold & predicted)
-    if not hit:
-        return 0.0
-    p, r = hit / len(predicted), hit / len(gold)
-    return 1.25 * p * r / (0.25 * p + r)
-
-
 def per_entity(entities: DataFrame, truth: DataFrame, predicted: DataFrame) -> DataFrame:
     """(q_id, gold, predicted, hit, f05) of each entity; truth and predicted are distinct pairs."""
     pairs = truth.select("q_id", "t_id", F.lit(1).alias("g")).join(predicted.select("q_id", "t_id", F.lit(1).alias("p")), ["q_id", "t_id"], "full_outer")
@@ -87,8 +77,9 @@ def classified_pairs(truth: DataFrame, predicted: DataFrame) -> DataFrame:
 
 
 def first_examples(pairs: DataFrame, outcome: str, n: int = 5) -> DataFrame:
-    """The first n entities that have the outcome, with its links (a report of fixed size)."""
-    return pairs.where(F.col("outcome") == outcome).groupBy("q_id").agg(F.array_join(F.array_sort(F.collect_list("t_id")), ",").alias("ids")).orderBy("q_id").limit(n)
+    """The first n entities that have the outcome, with its links (a report of fixed size). Ids are
+    numbered in the order of their file, so shorter ones come first."""
+    return pairs.where(F.col("outcome") == outcome).groupBy("q_id").agg(F.array_join(F.array_sort(F.collect_list("t_id")), ",").alias("ids")).orderBy(F.length("q_id"), "q_id").limit(n)
 
 
 def missed_links(truth: DataFrame, cands: DataFrame) -> DataFrame:
@@ -105,6 +96,38 @@ def miss_summary(missed: DataFrame, entities: DataFrame, truth: DataFrame) -> Da
     return by("country", F.col("country")).unionByName(by("source", F.substring_index("t_id", "-", 1))).unionByName(by("true_links", F.col("n")))
 
 
+def missed_examples(missed: DataFrame, entities: DataFrame, n: int = 12) -> DataFrame:
+    """The first n entities with missed links: name, address and those links (a report of fixed size)."""
+    lists = missed.groupBy("q_id").agg(F.array_join(F.array_sort(F.collect_list("t_id")), ",").alias("missed"))
+    named = lists.join(entities.select(F.col("entity_id").alias("q_id"), "business_name", "business_address"), "q_id")
+    return named.orderBy(F.length("q_id"), "q_id").limit(n)
+
+
+def validation_score(entities: DataFrame, truth: DataFrame, predicted: DataFrame) -> DataFrame:
+    """One row: entities, macro F0.5, singletons and the share of them that nothing was predicted for
+    (null if there are none). truth and predicted are distinct pairs; ``audit.prediction_checks`` comes first."""
+    e = per_entity(entities, truth, predicted)
+    single = F.col("gold") == 0
+    return e.agg(
+        F.count(F.lit(1)).alias("validation_entities"), F.avg("f05").alias("macro_f05"),
+        F.try_divide(F.count_if(single & (F.col("predicted") == 0)), F.count_if(single)).alias("singleton_accuracy"), F.count_if(single).alias("singleton_entities"))
+
+
+def batch_totals(entities: DataFrame, truth: DataFrame, cands: DataFrame, raw_pairs: DataFrame, frequency: DataFrame, query_keys: DataFrame, cap: int) -> DataFrame:
+    """One row of a retrieval run: entities, distinct keys of queries, those within the cap, pairs before
+    and after the top K, true links and those retrieved, entities with links and those with one among
+    their candidates, and the shares of these. ``frequency`` is (key, n) of the targets."""
+    e = per_entity(entities, truth, cands)
+    one = e.agg(
+        F.count(F.lit(1)).alias("source1_entities"), F.sum("predicted").alias("retained_candidate_pairs"), F.sum("gold").alias("true_links"), F.sum("hit").alias("true_links_retrieved"),
+        F.count_if(F.col("gold") > 0).alias("nonempty_truth_entities"), F.count_if(F.col("hit") > 0).alias("nonempty_truth_entities_with_candidate"))
+    for name, df in (("raw_candidate_pairs", raw_pairs), ("query_keys", query_keys.select("key").distinct()), ("active_keys", frequency.where(F.col("n") <= cap))):
+        one = one.crossJoin(df.agg(F.count(F.lit(1)).alias(name)))  # single rows
+    return one.withColumns({
+        "pair_recall": F.try_divide("true_links_retrieved", "true_links"), "entity_hit_rate": F.try_divide("nonempty_truth_entities_with_candidate", "nonempty_truth_entities"),
+        "candidates_per_source1": F.try_divide("retained_candidate_pairs", "source1_entities")})
+
+
 def hard_negatives(labelled: DataFrame, most: int = 40) -> DataFrame:
     """All positives and the first ``most`` negatives of each query in rank order."""
     w = Window.partitionBy("q_id", "label").orderBy("rank")

@@ -81,6 +81,13 @@ def check_split(train_ids: DataFrame, validation_ids: DataFrame) -> None:
         raise ValueError(f"{n} entities are in both splits")
 
 
+def check_development(ids: DataFrame, member) -> None:
+    """Raises if the hash ``member`` puts an entity that is trained on into the validation split."""
+    n = ids.select("q_id").distinct().where(member(F.col("q_id"))).count()
+    if n:
+        raise ValueError(f"{n} entities of the training set belong to the validation split")
+
+
 def experiments(train: DataFrame, pairs: DataFrame, entities: DataFrame, truth: DataFrame, kinds=KINDS) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Sweep of each kind of model over gated validation pairs: (model, position, threshold,
     macro_f05, predicted, best); the models by kind."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed formula, needed for equal splits: 64 bits of BLAKE2b, big-endian, of "seed:id" and "sample:id".
 def _u64(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "big")
 

@@ -158,9 +158,12 @@ def missed_links_anti(spark, d):
 
 
 def split_overlap(spark, d):
+    """A development split that one validation entity in ten leaks into, and the other way round."""
     s = Setting(spark, d)
-    member = split.validation_member_md5(F.col("q_id"))
-    return audit.split_overlap(s.ids.where(member), s.ids.where(~member))
+    member, number = split.validation_member_md5, F.regexp_extract("q_id", "-(.*)", 1).cast("long")
+    development = s.ids.where(~member(F.col("q_id")) | (number % 10 == 0))
+    validation = s.ids.where(member(F.col("q_id")) | (number % 35 == 0))
+    return audit.split_checks(development, validation, member)
 
 
 def profiles(spark, d):
@@ -270,11 +273,80 @@ def dedup_order(spark, d):
     return tables.match_lists(s.ids, twice)
 
 
+def _lists(s: Setting, pairs: DataFrame) -> DataFrame:
+    have = pairs.groupBy("q_id").agg(F.array_sort(F.collect_list("t_id")).alias("ids"))
+    return s.ids.join(have, "q_id", "left").select("q_id", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"), F.regexp_extract("q_id", "-(.*)", 1).cast("long").alias("n"))
+
+
+def _spoiled(lists: DataFrame) -> DataFrame:
+    """Lists with every kind of fault: rows that are gone, repeated and unknown, ids that are unknown
+    and repeated."""
+    n = F.col("n")
+    ids = F.concat("ids", F.when(n % 17 == 0, F.array(F.lit("S9-1"))).otherwise(F.array().cast("array<string>")), F.when(n % 19 == 0, F.slice("ids", 1, 1)).otherwise(F.array().cast("array<string>")))
+    kept = lists.where(n % 11 != 0).select("q_id", ids.alias("ids"), "n")
+    unknown = lists.where(n % 23 == 0).select(F.concat("q_id", F.lit("x")).alias("q_id"), "ids", "n")
+    return kept.unionByName(kept.where(n % 13 == 0)).unionByName(unknown).select("q_id", "ids")
+
+
 def submission_checks(spark, d):
     s = Setting(spark, d)
-    lists = lambda df: s.ids.join(df.groupBy("q_id").agg(F.collect_list("t_id").alias("ids")), "q_id", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
     # truth as matches: some links are no candidates
-    return audit.submission_checks(lists(s.truth), lists(s.candidates()), s.ids, s.t.select("t_id"))
+    return audit.submission_checks(_spoiled(_lists(s, s.truth)), _lists(s, s.candidates()).drop("n"), s.ids, s.t.select("t_id"))
+
+
+def header_checks(spark, d):
+    """A candidate file with a wrong header counts as empty."""
+    s = Setting(spark, d)
+    return audit.submission_checks(_lists(s, s.truth).drop("n"), _lists(s, s.candidates()).drop("n"), s.ids, s.t.select("t_id"), {"candidate": False})
+
+
+def evaluation_checks(spark, d):
+    s = Setting(spark, d)
+    return audit.evaluation_checks(_spoiled(_lists(s, s.candidates())), s.ids, require_full=True)
+
+
+def prediction_checks(spark, d):
+    s = Setting(spark, d)
+    return audit.prediction_checks(_spoiled(_lists(s, s.predicted())), s.ids, header=False)
+
+
+def validation_score(spark, d):
+    """Of the entities that hash into the validation split."""
+    s = Setting(spark, d)
+    ids = s.ids.where(split.validation_member_md5(F.col("q_id")))
+    inside = lambda df: df.join(ids, "q_id", "left_semi")
+    return _round(metrics.validation_score(ids, inside(s.truth), inside(s.predicted())))
+
+
+def batch_totals(spark, d):
+    s = Setting(spark, d)
+    keys = blocking.postings(s.q, "q_id")
+    return _round(metrics.batch_totals(s.ids, s.truth, s.candidates(), blocking.pair_evidence(s.q, s.t, CAP), blocking.key_frequency(blocking.postings(s.t), keys), keys, CAP))
+
+
+def missed_examples(spark, d):
+    s = Setting(spark, d)
+    return metrics.missed_examples(metrics.missed_links(s.truth, s.candidates()), s.s1)
+
+
+def name_gate(spark, d):
+    return features.gated(Setting(spark, d).pairs()).select("q_id", "t_id")
+
+
+def prediction_report(spark, d):
+    s = Setting(spark, d)
+    cands = s.candidates()
+    scored = features.heuristic_score(features.gated(features.with_profiles(cands, N.profile(s.s1), N.profile(s.targets))))
+    return _round(linkage.prediction_report(s.ids, cands, scored, 0.75))
+
+
+def best_ranking(spark, d):
+    """The ranking whose first candidates have the highest macro F0.5."""
+    s, out = Setting(spark, d), None
+    for i, ranking in enumerate(("sketch", "weight", "batch")):
+        one = metrics.prediction_metrics(s.ids, s.truth, s.candidates(ranking).where("rank = 1")).select(F.lit(ranking).alias("model"), F.lit(i).alias("position"), F.round("macro_f05", 9).alias("macro_f05"))
+        out = one if out is None else out.unionByName(one)
+    return _round(metrics.best_model(out))
 
 
 def _model_scores(spark, d, kind):
@@ -304,5 +376,6 @@ QUERIES = {f.__name__: f for f in (
     hash_split_blake2b, target_union, truth_semi, missed_links_anti, split_overlap, profiles, native_features, gates, fuzzy_features,
     heuristic_scores, baseline_sweep, entity_f05, candidate_quality, prediction_metrics, prediction_metrics_all, threshold_sweep,
     classified_pairs, first_n_examples, singleton_stats, audit_counts, table_profile, miss_summary, hard_negatives, rank_features,
-    dedup_order, submission_checks, lr_scores, gbt_scores, training_summary,
+    dedup_order, submission_checks, header_checks, evaluation_checks, prediction_checks, validation_score, batch_totals, missed_examples,
+    name_gate, prediction_report, best_ranking, lr_scores, gbt_scores, training_summary,
 )}

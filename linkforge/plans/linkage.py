@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normalize import profile, record_view
-from ..operators import blocking, features, metrics, model
+from ..operators import blocking, features, metrics, model, split
 
 
 def keyed_views(entities: DataFrame, as_id: str) -> DataFrame:
@@ -28,9 +28,12 @@ def scored_by_heuristic(cands: DataFrame, source1: DataFrame, targets: DataFrame
     return features.heuristic_score(features.pair_features(pairs))
 
 
-def train(cands: DataFrame, truth: DataFrame, source1: DataFrame, targets: DataFrame, max_entities: int = 14_000, max_negatives: int = 25, kind: str = "logistic") -> tuple[PipelineModel, DataFrame]:
-    """Fit on the first ``max_entities`` entities by id; also returns the training set."""
-    chosen = cands.select("q_id").distinct().orderBy("q_id").limit(max_entities)
+def train(cands: DataFrame, truth: DataFrame, source1: DataFrame, targets: DataFrame, max_entities: int = 14_000, max_negatives: int = 25, kind: str = "logistic", seed: int | None = None) -> tuple[PipelineModel, DataFrame]:
+    """Fit on the first ``max_entities`` entities in the order of their file (their numbers); also returns
+    the training set. With ``seed``, entities of that validation split are refused."""
+    chosen = cands.select("q_id").distinct().orderBy(F.length("q_id"), "q_id").limit(max_entities)
+    if seed is not None:
+        model.check_development(chosen, lambda c: split.validation_member(c, seed))
     data = model.training_set(cands.join(chosen, "q_id", "left_semi"), truth, profile(source1), profile(targets), max_negatives)
     return model.fit(data, kind), data
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import normalize as N
 from ..operators.blocking import BITS, TENTHS
-from ..operators.metrics import MODEL_THRESHOLDS
+from ..operators.metrics import BASELINE_THRESHOLDS, MODEL_THRESHOLDS
 from .catalog import CAP, K
 
 
@@ -134,17 +134,35 @@ def _check(file: str, check: str, bad: str) -> str:
     return f"SELECT '{file}' AS file, '{check}' AS \"check\", count(*) AS n, coalesce(array_to_string(list_sort(list(DISTINCT v))[1:3], ','), '') AS sample FROM ({bad})"
 
 
-def _checks() -> str:
-    out = []
-    for file, t in (("matching", "tr"), ("candidate", "ca")):
-        out += [
-            _check(file, "header", "SELECT '' AS v WHERE false"), _check(file, "duplicate_row", "SELECT '' AS v WHERE false"),
-            _check(file, "duplicate_id_in_list", f"SELECT q_id AS v FROM {t} GROUP BY q_id HAVING count(*) <> count(DISTINCT t_id)"),
-            _check(file, "missing_row", "SELECT '' AS v WHERE false"), _check(file, "unknown_row", "SELECT '' AS v WHERE false"),
-            _check(file, "unknown_id", f"SELECT DISTINCT t_id AS v FROM {t} WHERE t_id NOT IN (SELECT id FROM ent WHERE id NOT LIKE 'S1-%')"),
-        ]
-    out.append(_check("matching", "not_a_candidate", "SELECT DISTINCT q_id AS v FROM tr ANTI JOIN ca USING (q_id, t_id)"))
-    return f"WITH {CANDS} " + " UNION ALL ".join(out)
+def _file_checks(file: str, t: str, header: bool = True, ids: bool = True) -> list[str]:
+    """Of lists ``t`` (q_id, ids)."""
+    return [
+        _check(file, "header", f"SELECT '{file}' AS v" + (" WHERE false" if header else "")),
+        _check(file, "duplicate_row", f"SELECT q_id AS v FROM {t} GROUP BY q_id HAVING count(*) > 1"),
+        *([_check(file, "duplicate_id_in_list", f"SELECT q_id AS v FROM {t} WHERE len(ids) <> len(list_distinct(ids))")] if ids else []),
+        _check(file, "missing_row", f"SELECT q_id AS v FROM s1 WHERE q_id NOT IN (SELECT q_id FROM {t})"),
+        _check(file, "unknown_row", f"SELECT DISTINCT q_id AS v FROM {t} WHERE q_id NOT IN (SELECT q_id FROM s1)"),
+    ]
+
+
+def _unknown_ids(file: str, t: str) -> str:
+    return _check(file, "unknown_id", f"SELECT DISTINCT v FROM (SELECT unnest(ids) AS v FROM {t}) WHERE v NOT IN (SELECT id FROM ent WHERE id NOT LIKE 'S1-%')")
+
+
+def _lists(name: str, pairs: str) -> str:
+    return f"{name} AS (SELECT s1.q_id, coalesce(list_sort(list(t_id) FILTER (t_id IS NOT NULL)), []::VARCHAR[]) AS ids, split_part(s1.q_id, '-', 2)::BIGINT AS n FROM s1 LEFT JOIN {pairs} p ON p.q_id = s1.q_id GROUP BY s1.q_id)"
+
+
+def _spoiled(name: str, lists: str) -> str:
+    return f"""{name}_k AS (SELECT q_id, ids || CASE WHEN n % 17 = 0 THEN ['S9-1'] ELSE []::VARCHAR[] END || CASE WHEN n % 19 = 0 THEN ids[1:1] ELSE []::VARCHAR[] END AS ids, n FROM {lists} WHERE n % 11 <> 0),
+{name} AS (SELECT q_id, ids FROM {name}_k UNION ALL SELECT q_id, ids FROM {name}_k WHERE n % 13 = 0 UNION ALL SELECT q_id || 'x', ids FROM {lists} WHERE n % 23 = 0)"""
+
+
+def _submission(matching: str, candidate: str, header: bool) -> str:
+    out = [*_file_checks("matching", matching), _unknown_ids("matching", matching), *_file_checks("candidate", candidate, header), _unknown_ids("candidate", candidate)]
+    pair = lambda t: f"(SELECT q_id, unnest(ids) AS t_id FROM {t})"
+    out.append(_check("matching", "not_a_candidate", f"SELECT DISTINCT q_id AS v FROM {pair(matching)} m ANTI JOIN {pair(candidate)} c USING (q_id, t_id)"))
+    return " UNION ALL ".join(out)
 
 
 _LABELLED = f"WITH {CANDS}, lb AS (SELECT ca.q_id, ca.t_id, rank, CASE WHEN tr.t_id IS NULL THEN 0 ELSE 1 END AS label FROM ca LEFT JOIN tr ON tr.q_id = ca.q_id AND tr.t_id = ca.t_id)"
@@ -165,7 +183,45 @@ def _profile_sql() -> str:
     return " UNION ALL ".join(one)
 
 
-_SWEEP = ", ".join(f"({v}::DOUBLE)" for v in MODEL_THRESHOLDS)
+def _sweep(thresholds: list[float], scored: str) -> str:
+    values = ", ".join(f"({v}::DOUBLE)" for v in thresholds)
+    return f"""th(threshold) AS (VALUES {values}), g AS (SELECT q_id, count(*) AS gold FROM tr GROUP BY q_id), sd AS ({scored}),
+pc AS (SELECT threshold, sd.q_id, count(*) AS predicted, count(tr.t_id) AS hit FROM sd JOIN th ON prob >= threshold AND prob > 0 LEFT JOIN tr ON tr.q_id = sd.q_id AND tr.t_id = sd.t_id GROUP BY threshold, sd.q_id),
+x AS (SELECT th.threshold, s1.q_id, coalesce(gold, 0) AS gold, coalesce(predicted, 0) AS predicted, coalesce(hit, 0) AS hit FROM s1 CROSS JOIN th LEFT JOIN g ON g.q_id = s1.q_id LEFT JOIN pc ON pc.q_id = s1.q_id AND pc.threshold = th.threshold),
+m AS (SELECT threshold, avg({_f05('gold', 'predicted', 'hit')}) AS f, sum(predicted)::BIGINT AS predicted FROM x GROUP BY threshold)
+SELECT threshold, round(f, 6) AS macro_f05, predicted, row_number() OVER (ORDER BY round(f, 12) DESC, threshold) = 1 AS best FROM m"""
+
+
+def _lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence of strings of up to 120 characters: a row of bits, one step for
+    each character of b."""
+    mask = f"coalesce(list_sum(list_transform(list_filter(range(0, length({a})), lambda i: {a}[i + 1] = c), lambda i: (1::HUGEINT << i::INTEGER)))::HUGEINT, 0::HUGEINT)"
+    full = f"((1::HUGEINT << length({a})::INTEGER) - 1::HUGEINT)"
+    step = f"list_reduce(list_transform(string_split({b}, ''), lambda c: {mask}), lambda r, m: ((r + (r & m)) | (r - (r & m))) & {full}, {full})"
+    return f"(CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE length({a}) - bit_count({step}) END)"
+
+
+def _ratio(a: str, b: str) -> str:
+    return f"(2 * {_lcs(a, b)} / (length({a}) + length({b})))::DOUBLE"
+
+
+_SIDES = ", ".join(
+    f"q.{c} AS {x}q, t.{c} AS {x}t, array_to_string(list_sort(q.{s}), ' ') AS {x}sq, array_to_string(list_sort(t.{s}), ' ') AS {x}st" for x, c, s in (("xn", "nc", "nt"), ("xa", "ac", "ad"))
+) + ", " + ", ".join(
+    f"array_to_string(list_filter(list_sort(list_distinct({a}.nt)), lambda x: {n} list_contains({b}.nt, x)), ' ') AS {name}"
+    for name, a, b, n in (("common", "q", "t", ""), ("lf", "q", "t", "NOT"), ("rt", "t", "q", "NOT"))
+)
+_SET = f"""CASE WHEN xnq = '' OR xnt = '' THEN 0.0::DOUBLE WHEN common <> '' AND (lf = '' OR rt = '') THEN 1.0::DOUBLE
+  WHEN common = '' THEN (1 - (length(lf) + length(rt) - 2 * {_lcs("lf", "rt")}) / (length(lf) + length(rt)))::DOUBLE
+  ELSE greatest((1 - (length(lf) + length(rt) - 2 * {_lcs("lf", "rt")}) / (2 * length(common) + 2 + length(lf) + length(rt)))::DOUBLE,
+    (1 - (1 + length(lf)) / (2 * length(common) + 1 + length(lf)))::DOUBLE, (1 - (1 + length(rt)) / (2 * length(common) + 1 + length(rt)))::DOUBLE) END"""
+_either = lambda x, e: f"CASE WHEN {x}q = '' OR {x}t = '' THEN 0.0::DOUBLE ELSE {e} END"
+_FUZZY = f"""{_PAIRS}, y AS (SELECT q_id, t_id, rank, {_SIDES}, NOT (q.ctry <> '' AND t.ctry <> '' AND q.ctry <> t.ctry) AND coalesce(q.house = t.house, true) AS ok, {_flag("q.nc <> '' AND q.nc = t.nc")} AS name_exact,
+  {_jac("q.ns", "t.ns")} AS name_jaccard, {_ov("q.ns", "t.ns")} AS name_overlap, {_jac("q.asx", "t.asx")} AS addr_jaccard, {_flag("q.ac = '' OR t.ac = ''")} AS addr_missing FROM pp),
+z AS (SELECT *, {_either("xn", _ratio("xnq", "xnt"))} AS name_fuzz_ratio, {_either("xn", _ratio("xnsq", "xnst"))} AS name_token_sort_ratio, {_SET} AS name_token_set_ratio, {_either("xa", _ratio("xaq", "xat"))} AS addr_fuzz_ratio, {_either("xa", _ratio("xasq", "xast"))} AS addr_token_sort_ratio FROM y)"""
+_HEURISTIC = """h0 AS (SELECT *, (name_token_sort_ratio * 0.5::DOUBLE + name_token_set_ratio * 0.3::DOUBLE + name_jaccard * 0.2::DOUBLE) * 0.6::DOUBLE
+  + (CASE WHEN addr_missing > 0 THEN 0.65::DOUBLE ELSE addr_token_sort_ratio * 0.6::DOUBLE + addr_jaccard * 0.4::DOUBLE END) * 0.4::DOUBLE AS sc0 FROM z),
+hs AS (SELECT *, CASE WHEN NOT ok OR (name_token_sort_ratio < 0.6::DOUBLE AND name_exact = 0) THEN -1.0::DOUBLE WHEN name_exact > 0 THEN greatest(sc0, 0.9::DOUBLE) ELSE sc0 END AS prob FROM h0)"""
 
 ORACLE_SQL = {
     "tokens_part": f"WITH {PART} SELECT id AS entity_id, array_to_string({_aliased(_raw('name'), N.BLOCK_ALIASES)}, ' ') AS name_tokens, array_to_string({_aliased(_raw('addr'), N.PAIR_ALIASES)}, ' ') AS address_tokens FROM ent",
@@ -190,7 +246,9 @@ SELECT queries, targets, candidate_pairs, round(candidate_pairs / queries, 6) AS
     "target_union": f"WITH {PART} SELECT id AS entity_id, name AS business_name, addr AS business_address, ctry AS country, CASE WHEN id LIKE 'S2-%' THEN 2 ELSE 3 END AS src_ord FROM ent WHERE id NOT LIKE 'S1-%'",
     "truth_semi": f"WITH {PART}, {TRUTH} SELECT q_id, array_to_string(list_sort(list(t_id)), ',') AS ids FROM tr WHERE {MEMBER.format('q_id')} GROUP BY q_id",
     "missed_links_anti": f"{_MISSED} SELECT * FROM mi",
-    "split_overlap": "SELECT 0::BIGINT AS overlap",
+    "split_overlap": f"""WITH {PART}, i AS (SELECT id, {MEMBER.format("id")} AS v, split_part(id, '-', 2)::BIGINT AS n FROM ent WHERE id LIKE 'S1-%'),
+d AS (SELECT * FROM i WHERE NOT v OR n % 10 = 0), w AS (SELECT * FROM i WHERE v OR n % 35 = 0)
+SELECT (SELECT count(*) FROM d SEMI JOIN w USING (id)) AS overlap, (SELECT count(*) FROM d WHERE v) AS misplaced_development, (SELECT count(*) FROM w WHERE NOT v) AS misplaced_validation""",
     "profiles": f"WITH {PART}, {_PROFILE} SELECT id AS entity_id, nc AS name_clean, ac AS addr_clean, ctry, legal, house, array_to_string(list_sort(nums), ' ') AS nums, len(ns) AS name_tokens, len(asx) AS addr_tokens FROM po",
     "native_features": f"{_FEATURES} SELECT q_id, t_id, country_match, name_exact, round(name_jaccard, 6) AS name_jaccard, round(name_overlap, 6) AS name_overlap, name_len_diff, name_token_count_diff, name_legal_suffix_status, addr_exact, round(addr_jaccard, 6) AS addr_jaccard, round(addr_overlap, 6) AS addr_overlap, addr_len_diff, addr_missing, house_num_status, round(numeric_jaccard, 6) AS numeric_jaccard, numeric_conflict, round(name_jaccard * addr_jaccard, 6) AS name_x_addr_jaccard, round({_SKETCH_SCORE}, 6) AS sketch_score, round(reciprocal_rank, 6) AS reciprocal_rank, is_top1, total_candidates FROM f",
     "rank_features": f"{_FEATURES} SELECT q_id, t_id, round(reciprocal_rank, 6) AS reciprocal_rank, is_top1, total_candidates FROM f",
@@ -199,20 +257,36 @@ SELECT queries, targets, candidate_pairs, round(candidate_pairs / queries, 6) AS
     "candidate_quality": f"WITH {CANDS}, {_entity('ca')} SELECT count(*) AS entities, sum(predicted)::BIGINT AS candidate_pairs, sum(gold)::BIGINT AS true_links, sum(hit)::BIGINT AS links_found, round(sum(hit) / nullif(sum(gold), 0), 6) AS recall, round(avg({_f05('gold', 'hit', 'hit')}), 6) AS oracle_f05, count(*) FILTER (gold = 0) AS singletons, count(*) FILTER (gold = 0 AND predicted = 0) AS empty_singletons FROM pe",
     "prediction_metrics": _metrics("gold > 0"),
     "prediction_metrics_all": _metrics("true"),
-    "threshold_sweep": f"""WITH {CANDS}, th(threshold) AS (VALUES {_SWEEP}), g AS (SELECT q_id, count(*) AS gold FROM tr GROUP BY q_id),
-pc AS (SELECT threshold, ca.q_id, count(*) AS predicted, count(tr.t_id) AS hit FROM ca JOIN th ON round(score / 10, 4) >= threshold AND score > 0 LEFT JOIN tr ON tr.q_id = ca.q_id AND tr.t_id = ca.t_id GROUP BY threshold, ca.q_id),
-x AS (SELECT th.threshold, s1.q_id, coalesce(gold, 0) AS gold, coalesce(predicted, 0) AS predicted, coalesce(hit, 0) AS hit FROM s1 CROSS JOIN th LEFT JOIN g ON g.q_id = s1.q_id LEFT JOIN pc ON pc.q_id = s1.q_id AND pc.threshold = th.threshold),
-m AS (SELECT threshold, avg({_f05('gold', 'predicted', 'hit')}) AS f, sum(predicted)::BIGINT AS predicted FROM x GROUP BY threshold)
-SELECT threshold, round(f, 6) AS macro_f05, predicted, row_number() OVER (ORDER BY round(f, 12) DESC, threshold) = 1 AS best FROM m""",
+    "threshold_sweep": f"WITH {CANDS}, {_sweep(MODEL_THRESHOLDS, 'SELECT q_id, t_id, round(score / 10, 4) AS prob FROM ca')}",
     "classified_pairs": f"WITH {CANDS}, {PRED} SELECT coalesce(tr.q_id, pr.q_id) AS q_id, coalesce(tr.t_id, pr.t_id) AS t_id, CASE WHEN tr.q_id IS NULL THEN 'fp' WHEN pr.q_id IS NULL THEN 'fn' ELSE 'tp' END AS outcome FROM tr FULL JOIN pr ON tr.q_id = pr.q_id AND tr.t_id = pr.t_id",
-    "first_n_examples": f"WITH {CANDS}, {PRED} SELECT q_id, array_to_string(list_sort(list(t_id)), ',') AS ids FROM pr ANTI JOIN tr USING (q_id, t_id) GROUP BY q_id ORDER BY q_id LIMIT 5",
+    "first_n_examples": f"WITH {CANDS}, {PRED} SELECT q_id, array_to_string(list_sort(list(t_id)), ',') AS ids FROM pr ANTI JOIN tr USING (q_id, t_id) GROUP BY q_id ORDER BY length(q_id), q_id LIMIT 5",
     "singleton_stats": f"""WITH {PART}, {TRUTH}, n AS (SELECT s1.q_id, count(tr.t_id) AS n FROM s1 LEFT JOIN tr ON tr.q_id = s1.q_id GROUP BY s1.q_id)
-SELECT 'rows' AS metric, count(*) AS value FROM n UNION ALL SELECT 'duplicate_ids', 0 UNION ALL SELECT 'links', sum(n)::BIGINT FROM n UNION ALL SELECT 'singletons', count(*) FILTER (n = 0) FROM n UNION ALL SELECT 'matches:' || n, count(*) FROM n GROUP BY n""",
+SELECT 'rows' AS metric, count(*) AS value FROM n UNION ALL SELECT 'duplicate_ids', count(*) - count(DISTINCT q_id) FROM n UNION ALL SELECT 'links', sum(n)::BIGINT FROM n UNION ALL SELECT 'singletons', count(*) FILTER (n = 0) FROM n UNION ALL SELECT 'matches:' || n, count(*) FROM n GROUP BY n""",
     "audit_counts": f"WITH {PART}, party AS (SELECT 'S1-' || c_custkey AS id, c_name AS name, '' AS addr, n_name AS ctry FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey UNION ALL SELECT 'S2-' || s_suppkey, s_name, '', n_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey) {_audit('ent', 'part')} UNION ALL {_audit('party', 'party')}",
     "table_profile": _profile_sql(),
     "miss_summary": f"{_MISSED}, k AS (SELECT mi.*, s1.ctry, (SELECT count(*) FROM tr WHERE tr.q_id = mi.q_id) AS n FROM mi JOIN s1 USING (q_id)) SELECT 'country' AS dimension, ctry AS value, count(*) AS misses FROM k GROUP BY ctry UNION ALL SELECT 'source', split_part(t_id, '-', 1), count(*) FROM k GROUP BY 2 UNION ALL SELECT 'true_links', n::VARCHAR, count(*) FROM k GROUP BY 2",
     "hard_negatives": f"{_LABELLED} SELECT q_id, t_id, rank, label FROM lb QUALIFY label = 1 OR row_number() OVER (PARTITION BY q_id, label ORDER BY rank) <= 3",
     "dedup_order": f"WITH {CANDS}, {PRED} SELECT s1.q_id AS source1_entity_id, coalesce(string_agg(t_id, ',' ORDER BY rank), '') AS matched_entity_ids FROM s1 LEFT JOIN pr USING (q_id) GROUP BY s1.q_id",
-    "submission_checks": _checks(),
+    "submission_checks": f"WITH {CANDS}, {_lists('tl', 'tr')}, {_spoiled('ts', 'tl')}, {_lists('cl', 'ca')} {_submission('ts', 'cl', True)}",
+    "header_checks": f"WITH {CANDS}, {_lists('tl', 'tr')}, cl AS (SELECT q_id, ids FROM tl WHERE false) {_submission('tl', 'cl', False)}",
+    "evaluation_checks": f"WITH {CANDS}, {_lists('cl', 'ca')}, {_spoiled('cs', 'cl')} {' UNION ALL '.join(_file_checks('candidate', 'cs'))}",
+    "prediction_checks": f"WITH {CANDS}, {PRED}, {_lists('pl', 'pr')}, {_spoiled('ps', 'pl')} {' UNION ALL '.join(_file_checks('prediction', 'ps', False, False))}",
+    "validation_score": f"""WITH {CANDS}, {PRED}, {_entity("pr")}, v AS (SELECT * FROM pe WHERE {MEMBER.format("q_id")})
+SELECT count(*) AS validation_entities, round(avg({_f05("gold", "predicted", "hit")}), 6) AS macro_f05, round(count(*) FILTER (gold = 0 AND predicted = 0) / nullif(count(*) FILTER (gold = 0), 0), 6) AS singleton_accuracy, count(*) FILTER (gold = 0) AS singleton_entities FROM v""",
+    "batch_totals": f"""WITH {CANDS}, {_entity("ca")}, a AS (SELECT count(*) AS source1_entities, sum(predicted)::BIGINT AS retained_candidate_pairs, sum(gold)::BIGINT AS true_links, sum(hit)::BIGINT AS true_links_retrieved,
+  count(*) FILTER (gold > 0) AS nonempty_truth_entities, count(*) FILTER (hit > 0) AS nonempty_truth_entities_with_candidate FROM pe)
+SELECT *, (SELECT count(*) FROM ev) AS raw_candidate_pairs, (SELECT count(DISTINCT key) FROM qk) AS query_keys, (SELECT count(*) FROM fr WHERE n <= {CAP}) AS active_keys,
+  round(true_links_retrieved / nullif(true_links, 0), 6) AS pair_recall, round(nonempty_truth_entities_with_candidate / nullif(nonempty_truth_entities, 0), 6) AS entity_hit_rate, round(retained_candidate_pairs / source1_entities, 6) AS candidates_per_source1 FROM a""",
+    "missed_examples": f"{_MISSED} SELECT q_id, ent.name AS business_name, ent.addr AS business_address, array_to_string(list_sort(list(t_id)), ',') AS missed FROM mi JOIN ent ON ent.id = mi.q_id GROUP BY q_id, ent.name, ent.addr ORDER BY length(q_id), q_id LIMIT 12",
+    "fuzzy_features": f"{_FUZZY} SELECT q_id, t_id, round(name_fuzz_ratio, 6) AS name_fuzz_ratio, round(name_token_sort_ratio, 6) AS name_token_sort_ratio, round(name_token_set_ratio, 6) AS name_token_set_ratio, round(addr_fuzz_ratio, 6) AS addr_fuzz_ratio, round(addr_token_sort_ratio, 6) AS addr_token_sort_ratio, round(name_token_sort_ratio * CASE WHEN addr_missing > 0 THEN 0.6::DOUBLE ELSE addr_token_sort_ratio END, 6) AS name_x_addr_sort FROM z",
+    "name_gate": f"{_FUZZY} SELECT q_id, t_id FROM z WHERE ok AND (name_overlap >= 0.5 OR name_token_sort_ratio >= 0.55)",
+    "heuristic_scores": f"{_FUZZY}, {_HEURISTIC} SELECT q_id, t_id, round(prob, 6) AS prob FROM hs",
+    "prediction_report": f"""{_FUZZY}, {_HEURISTIC}, g AS (SELECT * FROM hs WHERE ok AND (name_overlap >= 0.5 OR name_token_sort_ratio >= 0.55))
+SELECT (SELECT count(*) FROM s1) AS entities, (SELECT count(*) FROM ca) AS pairs, (SELECT count(*) FROM ca) - (SELECT count(*) FROM g) AS gated, count(*) FILTER (prob >= 0.75) AS matches,
+  round(((SELECT count(*) FROM s1) - count(DISTINCT q_id) FILTER (prob >= 0.75)) / (SELECT count(*) FROM s1), 6) AS singleton_fraction FROM g""",
+    "baseline_sweep": f"{_FUZZY}, {_HEURISTIC}, {_sweep(BASELINE_THRESHOLDS, 'SELECT q_id, t_id, prob FROM hs')}",
+    "best_ranking": f"WITH {', '.join([PART, VIEW, KEYS, _evidence(), SCORED, TRUTH])}, " + ", ".join(
+        f"c{i} AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY {o}) = 1), m{i} AS (SELECT '{n}' AS model, {i} AS position, round(avg(f), 9) AS f FROM (SELECT {_f05('gold', 'predicted', 'hit')} AS f FROM (SELECT q_id, (SELECT count(*) FROM tr WHERE tr.q_id = s1.q_id) AS gold, (SELECT count(*) FROM c{i} c WHERE c.q_id = s1.q_id) AS predicted, (SELECT count(*) FROM c{i} c JOIN tr ON tr.q_id = c.q_id AND tr.t_id = c.t_id WHERE c.q_id = s1.q_id) AS hit FROM s1)))"
+        for i, (n, o) in enumerate((("sketch", SKETCH), ("weight", "weight10 DESC, rid"), ("batch", "score DESC, t_id DESC")))) + " SELECT model, position, round(f, 6) AS macro_f05 FROM (SELECT * FROM m0 UNION ALL SELECT * FROM m1 UNION ALL SELECT * FROM m2) ORDER BY f DESC, position LIMIT 1",
     "training_summary": f"{_LABELLED}, k AS (SELECT * FROM lb QUALIFY label = 1 OR row_number() OVER (PARTITION BY q_id, label ORDER BY rank) <= 25) SELECT count(*) AS n, sum(label)::BIGINT AS positives, round(sum(label) / count(*), 6) AS positive_rate FROM k",
 }

@@ -19,13 +19,14 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return first[0].rstrip("\r\n").split("\t") if first else []
 
 
-def read_tsv(spark: SparkSession, path: str, columns: list[str], check: bool = True) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, columns: list[str], check: bool = True, lines: bool = False) -> DataFrame:
     """Tab-separated strings with ``""`` quoting; the header must be exactly ``columns``. Empty
-    fields are empty strings, blanks around values stay."""
+    fields are empty strings, blanks around values stay. With ``lines`` quoted values may hold line
+    breaks; a file is then one task, while otherwise large files are split."""
     if check and (found := header_of(spark, path)) != columns:
         raise ValueError(f"{path}: header {found}, expected {columns}")
     schema = ", ".join(f"`{c}` string" for c in columns)
-    df = spark.read.schema(schema).options(sep="\t", header=True, quote='"', escape='"', multiLine=True, enforceSchema=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    df = spark.read.schema(schema).options(sep="\t", header=True, quote='"', escape='"', multiLine=lines, enforceSchema=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in columns])
 
 
@@ -125,9 +126,12 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/targets")
 
 
-def write_json(df: DataFrame, path: str) -> dict:
-    """A one-row report as a JSON document (driver-side file)."""
-    row = df.first().asDict(recursive=True)
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(row, f, indent=2, sort_keys=True, default=str)
-    return row
+def write_json(found, path: str) -> None:
+    """A report (a one-row frame, or anything JSON has a form for) as a document in any Hadoop file system."""
+    spark = SparkSession.getActiveSession()
+    if isinstance(found, DataFrame):
+        found = found.first().asDict(recursive=True)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(json.dumps(found, indent=2, sort_keys=True, default=str).encode()))
+    out.close()

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from linkforge import cli
@@ -21,3 +22,17 @@ def test_commands(spark, sf_dir, tmp_path, capsys):
     cli.main(["predict", *base, "--out", str(tmp_path / "p")])
     cli.main(["validate", *base, "--matching", str(tmp_path / "p")])
     assert capsys.readouterr().out.startswith("PASS")
+    said = lambda *more: (cli.main([*more, *base]), json.loads(capsys.readouterr().out.strip().splitlines()[-1]))[1]
+    scored = said("score", "--matching", str(tmp_path / "p"), "--report", str(tmp_path / "r.json"))
+    assert scored["validation_entities"] == 67 and json.loads((tmp_path / "r.json").read_text()) == scored
+    assert said("misses")["examples"] == [] and len(said("baseline")) == 10 and said("audit")
+    assert said("index", "--index", str(tmp_path / "i"))["targets"] == 133
+    found = said("experiments", "--kinds", "logistic,logistic")
+    assert len(found["sweeps"]) == 26 and found["best"]["position"] == 0
+    # a wrong header, and rows that are not there
+    (tmp_path / "bad").write_text("source1_entity_id\tids\nS1-3\tS2-4\n", encoding="utf-8")
+    cli.main(["validate", *base, "--matching", str(tmp_path / "bad")])
+    out = capsys.readouterr().out
+    assert out.startswith("FAIL") and '"check": "header", "n": 1' in out
+    with pytest.raises(ValueError, match="header"):
+        cli.main(["score", *base, "--matching", str(tmp_path / "bad")])

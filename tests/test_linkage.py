@@ -17,10 +17,25 @@ def test_query_equals_sql(name, same):
     same(catalog.QUERIES[name], oracle.ORACLE_SQL[name])
 
 
-def test_entity_f05():
-    f = metrics.entity_f05
-    assert f(set(), set()) == 1 and f(set(), {"S2-1"}) == 0 and f({"S2-1"}, set()) == 0
-    assert f({"S2-1"}, {"S2-1", "S3-1"}) == pytest.approx(5 / 9) and f({"a", "b"}, {"a", "b"}) == 1
+def test_entity_f05(spark):
+    """Against precision and recall written out."""
+    counts = [(g, p, h) for g in range(4) for p in range(4) for h in range(min(g, p) + 1)]
+    df = spark.createDataFrame(counts, "g long, p long, h long").withColumn("f", metrics.f05(F.col("g"), F.col("p"), F.col("h")))
+    for r in df.collect():
+        if not r.g and not r.p:
+            want = 1.0
+        elif not r.h:
+            want = 0.0
+        else:
+            want = 1.25 / (1 / (r.h / r.p) + 0.25 / (r.h / r.g))  # the weighted harmonic mean
+        assert r.f == pytest.approx(want)
+
+
+def test_leaks_are_refused(spark):
+    ids = spark.createDataFrame([(f"S1-{i}",) for i in range(60)], "q_id string")
+    with pytest.raises(ValueError, match="validation split"):
+        model.check_development(ids, split.validation_member)
+    model.check_development(ids.where(~split.validation_member(F.col("q_id"))), split.validation_member)
 
 
 def test_split_is_deterministic(spark):
