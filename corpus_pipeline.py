@@ -1,4 +1,8 @@
-"""Corpus pipeline: language ID, exact dedup, near-dedup, secret redaction, packing."""
+"""Corpus pipeline: language ID, exact dedup, near-dedup, secret redaction, packing.
+
+Every stage takes tables with any columns besides ``doc_id``, ``text`` and ``lang`` and returns all of
+them (packing returns its own), takes an empty table and then returns no rows, and keeps rows whose
+doc_id is null. Each stage's table goes once the next is written."""
 
 from __future__ import annotations
 
@@ -6,17 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkforge.llm import exact_dedup, language_id, order_minhash, packing, queries, secret_scan
-from linkforge.llm.common import drop_rows, materialise
+from linkforge.llm.common import discard, drop_rows, materialise
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; the model learns from those not held out."""
+    """Documents whose text has a language; the model learns from those not held out. Null and empty
+    texts and those without a letter go; repeated rows stay; the order of rows means nothing."""
     model = language_id.train(docs.where(~queries.held_out()))
     return language_id.keep_identified(docs, model)
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the largest doc_id of each group of equal texts."""
+    """The row with the largest doc_id of each group of texts that are equal but for the case of A-Z;
+    null counts as empty. Null ids come last. Of rows that repeat both id and text one stays; rows that
+    share an id with unlike texts are told apart by their texts."""
     found = exact_dedup.exact_dedup(docs).select(F.col("doc_id").alias("__d"), F.col("kept").alias("__kept"), F.unhex("text_sha256").alias("__digest"))
     found = materialise(found, "exact")
     # ids that several rows have need the digest too
@@ -33,18 +40,21 @@ def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """The document with the smallest doc_id of each group of near copies. Null texts and those without
+    words are near nothing and stay; rows that repeat an id with unlike texts are told by their texts."""
     gone = order_minhash.near_dedup(docs).where("not kept").select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
     return drop_rows(docs, materialise(gone, "dropped"), (F.col("doc_id"), "d"), (F.xxhash64("text"), "k"))
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by their kind."""
+    """All documents, secrets replaced by their kind and n_chars, where a text changes, by its new
+    length. Null texts stay null; repeated rows stay."""
     return secret_scan.redact_docs(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 2048 tokens with their place in a sequence."""
+    """Pieces of at most 2048 tokens with their place in a sequence. Null and empty texts are one
+    token; each row is packed, repeated ones too."""
     return packing.pack(docs)
 
 
@@ -63,5 +73,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        last, docs = docs, materialise(stage(spark, docs, sf_dir), name)
+        discard(last)
     return docs
