@@ -238,15 +238,45 @@ def test_substring_brute_force(spark):
         assert got == sorted(brute_substring(docs, size))
 
 
-def test_index_compacts():
-    index, rng, seen, twice = substring_dedup.FingerprintIndex(2), np.random.default_rng(0), {}, set()
-    for batch in range(9):
-        h = rng.integers(0, 300, 60).astype(np.uint64)
-        places = np.arange(60) + 60 * batch
-        for x, p in zip(h.tolist(), places.tolist(), strict=True):
-            seen.setdefault(x, []).append(p)
-        twice.update(index.add(h, h * np.uint64(7), places).tolist())
-    assert twice == {p for ps in seen.values() if len(ps) > 1 for p in ps}
+def test_index_takes_batches(spark, tmp_path):
+    """Documents that come in batches, the index opened anew for each, give what all at once do; runs are
+    compacted on the way, and one that was not finished is passed over."""
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(40)]
+    docs = []
+    for i in range(45):
+        w = [rng.choice("abcdefgh") for _ in range(rng.randrange(60))]
+        if i % 4 == 0:
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = passage[rng.randrange(8) : 32 + rng.randrange(8)]
+        docs.append((i, " ".join(w)))
+    docs += [(100, docs[0][1]), (101, None), (0, docs[0][1])]
+    path, marks = str(tmp_path / "index"), None
+    for i in range(0, len(docs), 8):
+        index = substring_dedup.FingerprintIndex(spark, path, 12, 5, fan_in=2, buckets=8)
+        new = index.add(substring_dedup.keyed(spark.createDataFrame(docs[i : i + 8], "doc_id long, text string").repartition(2)))
+        marks = new if marks is None else marks.unionByName(new)
+        (tmp_path / "index" / f"run-0-12-5-8-broken{i}").mkdir()
+    assert sorted(level for level, _ in index.runs()) == [1, 2]
+    base = substring_dedup.keyed(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.cut_marked(base, marks, 12).collect())
+    assert got == sorted(brute_substring(docs, 12))
+    # nothing new: old documents are not marked again
+    assert index.add(substring_dedup.keyed(spark.createDataFrame([(200, "only these few words")], "doc_id long, text string")), keep=False).isEmpty()
+    with pytest.raises(ValueError):
+        substring_dedup.FingerprintIndex(spark, path, 35, 8)
+    index.drop()
+    assert index.runs() == []
+
+
+def test_merge_join_verifies():
+    rng = np.random.default_rng(0)
+    run = lambda n, at: substring_dedup._sorted(rng.integers(0, 40, n).astype(np.uint64), rng.integers(0, 3, n).astype(np.uint64), np.arange(at, at + n))
+    old, new = run(60, 0), run(50, 1000)
+    pairs = lambda r: list(zip(*(x.tolist() for x in r), strict=True))
+    want = {p for h, a, p in pairs(old) if any((h, a) == x[:2] for x in pairs(new))} | {p for h, a, p in pairs(new) if any((h, a) == x[:2] for x in pairs(old))}
+    assert {int(x) for hit in substring_dedup.merge_join(old, new) for x in hit} == want
+    assert set(substring_dedup.twins(old).tolist()) == {p for h, a, p in pairs(old) if sum((h, a) == x[:2] for x in pairs(old)) > 1}
 
 
 def test_exact_dedup_keeps_one(spark):
