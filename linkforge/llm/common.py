@@ -3,6 +3,8 @@ word hashing over raw UTF-8 bytes and connected components."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -88,6 +90,14 @@ def drop_rows(docs: DataFrame, gone: DataFrame, *keys: tuple) -> DataFrame:
     return docs.join(F.broadcast(gone) if small else gone.hint("shuffle_merge"), on, "left_anti")
 
 
+def release() -> None:
+    """Give memory that a Python worker no longer uses back to the system: workers live on between
+    tasks, next to the heap of their executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
