@@ -14,7 +14,9 @@ candidate pairs that are not yet connected are verified. Only verified links mak
 A block of many texts first shrinks in linear rounds: each text is compared with one text it shares
 a sketch with, and sketches whose texts are all connected are done with. What is left meets sketch
 by sketch, so a text moves once per sketch however large its block is, and a pair is compared under
-the smallest sketch that it shares. Only where the texts of one sketch are many and not connected
+the smallest sketch that it shares. Sketches of texts of few shingles often differ; two texts of at
+most nine shingles between them are 0.8 similar only if one is the other less one shingle, and an
+equi-join finds all of those. Only where the texts of one sketch are many and not connected
 are they dealt out in pairs of slices; those of its largest connected part meet the others only.
 """
 
@@ -31,6 +33,9 @@ from pyspark.sql import functions as F
 from .common import chunks, connected_components, id_text, materialise, mix, occurrence, rolling, text_bytes, words
 
 GRAM, LEAST, SKETCHES, TAKE = 5, 0.8, 14, 4
+#: Texts of up to this many shingles are also met with what they are less one shingle: any pair
+#: whose union has no more and that is 0.8 similar differs in one.
+SHORT = 9
 #: Texts of a block or, in larger blocks, of a sketch that meet in one task.
 SLICE = 1500
 #: Linear rounds at most; they save work only, as what they leave open is compared after them.
@@ -105,7 +110,7 @@ def _sketches(sketches: int, take: int):
     def run(batches):
         for b in batches:
             data, off = text_bytes(b.column("text"))
-            whole, keys = [], []
+            whole, keys, few = [], [], []
             for i, j in chunks(off):
                 _, _, h, at = words(data[off[i] : off[j]], off[i : j + 1] - off[i], lower=True)
                 for k in range(j - i):
@@ -113,10 +118,17 @@ def _sketches(sketches: int, take: int):
                     if not len(w):
                         whole.append(None)
                         keys.append(None)
+                        few.append(None)
                         continue
                     whole.append((int(rolling(w, len(w))[0]) ^ len(w)) - (1 << 63))
-                    keys.append(sketch_keys(labelled(w), sketches, take).view(np.int64).tolist())
-            yield pa.record_batch([b.column("doc_id"), pa.array(whole, pa.int64()), pa.array(keys, pa.list_(pa.int64())), b.column("text_key")], names=["doc_id", "node", "keys", "text_key"])
+                    x = labelled(w)
+                    keys.append(sketch_keys(x, sketches, take).view(np.int64).tolist())
+                    few.append(x.view(np.int64).tolist() if len(x) <= SHORT else None)
+            longs = pa.list_(pa.int64())
+            yield pa.record_batch(
+                [b.column("doc_id"), pa.array(whole, pa.int64()), pa.array(keys, longs), b.column("text_key"), pa.array(few, longs)],
+                names=["doc_id", "node", "keys", "text_key", "few"],
+            )
 
     return run
 
@@ -289,6 +301,17 @@ def _dealt(rest: DataFrame) -> DataFrame:
     )
 
 
+def _one_less(rows: DataFrame, least: float) -> DataFrame:
+    """(u, v) of texts of few shingles of which v is u less one shingle, where that is near. Sequences
+    are compared themselves, so each pair is verified, and u has at most ``SHORT`` partners: equal
+    sequences are one class."""
+    few = rows.where("few is not null").select("node", "few").dropDuplicates(["node"])
+    n = F.size("few")
+    less = few.where((n > 1) & ((n - 1) >= F.lit(least) * n - 1e-9)).withColumn("i", F.explode(F.sequence(F.lit(1), n)))
+    less = less.select(F.col("node").alias("u"), F.concat(F.slice("few", F.lit(1), F.col("i") - 1), F.slice("few", F.col("i") + 1, n)).alias("few"))
+    return less.join(few.withColumnRenamed("node", "v"), "few").select("u", "v").distinct()
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, sketches: int = SKETCHES, take: int = TAKE) -> DataFrame:
     """One row per input row: doc_id, component_id, kept, text_key (a hash of the text, to find
     the row by where ids repeat).
@@ -302,7 +325,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     base = id_text(docs, id_col, text_col)
     base = base.withColumn("text_key", F.xxhash64("text"))
-    rows = materialise(base.mapInArrow(_sketches(sketches, take), "doc_id long, node long, keys array<long>, text_key long"), "omh-rows")
+    rows = materialise(base.mapInArrow(_sketches(sketches, take), "doc_id long, node long, keys array<long>, text_key long, few array<long>"), "omh-rows")
     # classes of equal word sequences; what follows sees each once
     classes = rows.where("node is not null").groupBy("node").agg(F.first("keys").alias("keys"), F.min("doc_id").alias("least_id"))
     keyed = classes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
@@ -329,7 +352,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "by_key", "block", "pair.a", "pair.b", "node", "words", "keys", "slice", "comp")
     links = materialise(met.groupBy("by_key", "block", "a", "b").applyInArrow(_verify(least, GRAM), "u long, v long"), "omh-links")
     links = links if found_so_far is None else links.unionByName(found_so_far)
-    found = connected_components(links)
+    found = connected_components(links.unionByName(_one_less(rows, least)))
     labels = found.join(classes.select(F.col("node"), "least_id"), "node")
     smallest = labels.groupBy("component").agg(F.min("least_id").alias("component_id"))
     moved = labels.join(smallest, "component").select("node", F.col("component_id").alias("linked"))

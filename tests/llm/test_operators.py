@@ -589,6 +589,28 @@ def test_near_dedup_brute_force(spark, monkeypatch, slices):
     assert all(want[i] == want[j] for i in want for j in want if fine[i] == fine[j])  # nothing too many
 
 
+def test_short_texts_lose_no_link(spark):
+    rng = random.Random(11)
+    rows, want = [], {}
+    for i in range(400):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(4, 13))]
+        if i % 5 == 0:
+            base = [base[0]] * len(base)  # shingles that repeat
+        # one word more at an end is one shingle more: near from four shingles on
+        more = [*base, "end"] if i % 2 else ["start", *base]
+        if i % 5 == 0:
+            more = [*base, base[0]]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(more))]
+        near = plain_similarity(rows[-2][1], rows[-1][1]) >= 0.8
+        want |= {2 * i: 2 * i, 2 * i + 1: 2 * i if near else 2 * i + 1}
+    assert 100 < sum(a != b for a, b in want.items()) < 390
+    # two texts of which neither is the other less a shingle, and one common start amid ever different ends
+    rows += [(1000 + i, f"a b c d e f g h end{i}") for i in range(50)]
+    want |= {1000 + i: 1000 + i for i in range(50)}
+    got = {r.doc_id: r.component_id for r in order_minhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == want
+
+
 def test_large_blocks_shrink_to_the_same(spark, monkeypatch):
     rng = random.Random(3)
     seed = [f"w{rng.randrange(900)}" for _ in range(260)]
