@@ -22,15 +22,6 @@ def part_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 16 tokens only, as in the SQL of the queries on documents (``DOCS``)."""
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    t = d.select("doc_id", "lang", F.md5(F.col("text").cast("binary")).alias("truth_key"), raw_tokens(F.col("text")).alias("t"))
-    return t.select(
-        _entity(F.col("doc_id")).alias("entity_id"), F.array_join(F.slice("t", 1, 6), " ").alias("business_name"),
-        F.array_join(F.slice("t", 7, 10), " ").alias("business_address"), F.col("lang").alias("country"), F.col("doc_id").alias("rid"), "truth_key")
-
-
-def text_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with all their tokens: the first half is the name, the second the address."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     t = d.select("doc_id", "lang", F.md5(F.col("text").cast("binary")).alias("truth_key"), raw_tokens(F.col("text")).alias("t"))

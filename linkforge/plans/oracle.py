@@ -33,7 +33,7 @@ def _selected(tokens: str, ignored: list[str], n: int) -> str:
 
 
 PART = "ent AS (SELECT 'S' || (1 + p_partkey % 3) || '-' || p_partkey AS id, p_partkey AS rid, p_name AS name, CASE WHEN p_partkey % 37 = 0 THEN '' ELSE p_size || ' ' || p_brand || ' ' || p_type END AS addr, lower(p_type) AS ctry, p_name || '|' || p_brand AS tk FROM part)"
-DOCS = f"raw AS (SELECT doc_id, lang, md5(text) AS tk, {_raw('text')} AS t FROM documents), ent AS (SELECT 'S' || (1 + doc_id % 3) || '-' || doc_id AS id, doc_id AS rid, array_to_string(t[1:6], ' ') AS name, array_to_string(t[7:16], ' ') AS addr, lang AS ctry, tk FROM raw)"
+DOCS = f"raw AS (SELECT doc_id, lang, md5(text) AS tk, {_raw('text')} AS t FROM documents), ent AS (SELECT 'S' || (1 + doc_id % 3) || '-' || doc_id AS id, doc_id AS rid, array_to_string(t[1:(len(t) + 1) // 2], ' ') AS name, array_to_string(t[(len(t) + 1) // 2 + 1:len(t)], ' ') AS addr, lang AS ctry, tk FROM raw)"
 VIEW = f"""tok AS (SELECT *, {_aliased(_raw("name"), N.BLOCK_ALIASES)} AS n, {_aliased(_raw("addr"), N.BLOCK_ALIASES)} AS a FROM ent),
 vw AS (SELECT id, rid, ctry, tk, {_selected("n", N.LEGAL, 4)} AS nt, {_selected("a", N.ADDRESS_GENERIC, 3)} AS ad, list_filter(a, lambda x: {NUM})[1] AS num FROM tok)"""
 KEYS = """ks AS (SELECT id, unnest(list_distinct(flatten([
