@@ -101,9 +101,9 @@ def run_misses(spark, a):
     """True links that are no candidates: by country, source and number of links, with examples."""
     s1, _ = _inputs(spark, a)
     truth = _truth_of(spark, a, s1)
-    missed = metrics.missed_links(truth, _candidates(spark, a)).persist()
-    rows = [r.asDict() for r in metrics.miss_summary(missed, s1.withColumnRenamed("entity_id", "q_id"), truth).collect()]
-    _say(a, {"summary": rows, "examples": [r.asDict() for r in metrics.missed_examples(missed, s1).collect()]})
+    cands = _candidates(spark, a).persist()
+    rows = [r.asDict() for r in metrics.miss_summary(truth, cands, s1.withColumnRenamed("entity_id", "q_id")).collect()]
+    _say(a, {"summary": rows, "examples": [r.asDict() for r in metrics.missed_examples(metrics.missed_links(truth, cands), s1).collect()]})
 
 
 def run_baseline(spark, a):

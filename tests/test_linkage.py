@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linkforge.functions import normalize as N
 from linkforge.functions import similarity as S
 from linkforge.operators import audit, blocking, features, metrics, model, split
+from linkforge.operators.truth import KeyTruth
 from linkforge.plans import catalog, linkage, oracle
 from linkforge.sources import tables
 
@@ -194,3 +195,35 @@ def test_models_see_whole_texts(spark, tmp_path):
     both = s.entities.select(F.concat_ws(" ", "business_name", "business_address").alias("t"))
     assert {r.t for r in both.collect()} == {t for _, t, _ in docs}
     assert {(r.q_id, r.t_id) for r in catalog.lr_scores(spark, str(tmp_path)).collect()} == {("S1-3", "S2-4"), ("S1-6", "S3-5")}
+
+
+# the driver keeps a plan's text at each step of a run, so it is bounded (200,000 to 3,400,000 characters before)
+SMALL_PLANS = ["miss_summary"]
+
+
+@pytest.mark.parametrize("name", SMALL_PLANS)
+def test_plans_stay_small(spark, sf_dir, name):
+    assert len(catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()) < 150_000
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """Truth of one key that 400,000,000 links would come from, and three candidates, one of them no link."""
+    q = spark.range(20_000).select(F.concat(F.lit("S1-"), "id").alias("q_id"), F.lit("k").alias("key"))
+    t = spark.range(20_001).select(F.concat(F.lit("S2-"), "id").alias("t_id"), F.when(F.col("id") < 20_000, "k").otherwise("l").alias("key"))
+    cands = spark.createDataFrame([("S1-1", "S2-1", 1), ("S1-1", "S2-20000", 2), ("S1-7", "S2-2", 1)], "q_id string, t_id string, rank int")
+    return q.select("q_id", F.lit("US").alias("country")), KeyTruth(q, t), cands
+
+
+def test_misses_are_counted(hot):
+    entities, truth, cands = hot
+    got = {(r.dimension, r.value): r.misses for r in metrics.miss_summary(truth, cands, entities).collect()}
+    assert got == {("country", "US"): 39_998, ("source", "S2"): 39_998, ("true_links", "20000"): 39_998}
+
+
+def test_key_truth_is_pair_truth(spark, sf_dir):
+    s = catalog.Setting(spark, sf_dir)
+    country = s.s1.withColumnRenamed("entity_id", "q_id")
+    few = s.candidates().where("rank > 1")
+    one, two = (sorted(map(tuple, metrics.miss_summary(t, few, country).collect())) for t in (s.links, s.truth))
+    assert one == two and one
