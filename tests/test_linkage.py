@@ -202,6 +202,7 @@ SMALL_PLANS = {
     "miss_summary": 100_000,  # 1,284,156 before
     "baseline_sweep": 250_000,  # 573,996 before
     "best_ranking": 250_000,  # 674,636 before
+    "batch_totals": 150_000,  # 456,722 before
     "submission_checks": 400_000,  # 2,668,622 before
 }
 
