@@ -203,6 +203,7 @@ SMALL_PLANS = {
     "baseline_sweep": 250_000,  # 573,996 before
     "best_ranking": 250_000,  # 674,636 before
     "batch_totals": 150_000,  # 456,722 before
+    "candidate_quality": 100_000,  # 232,699 before
     "submission_checks": 400_000,  # 2,668,622 before
 }
 
