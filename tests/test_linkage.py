@@ -204,6 +204,7 @@ SMALL_PLANS = {
     "best_ranking": 250_000,  # 674,636 before
     "batch_totals": 150_000,  # 456,722 before
     "candidate_quality": 100_000,  # 232,699 before
+    "entity_f05": 100_000,  # 225,209 before
     "submission_checks": 400_000,  # 2,668,622 before
 }
 
@@ -234,3 +235,9 @@ def test_key_truth_is_pair_truth(spark, sf_dir):
     few = s.candidates().where("rank > 1")
     one, two = (sorted(map(tuple, metrics.miss_summary(t, few, country).collect())) for t in (s.links, s.truth))
     assert one == two and one
+
+
+def test_hot_key_is_counted(hot):
+    entities, truth, cands = hot
+    e = {r.q_id: tuple(r)[1:4] for r in metrics.per_entity(entities, truth, cands).where("predicted > 0").collect()}
+    assert e == {"S1-1": (20_000, 2, 1), "S1-7": (20_000, 1, 1)}
