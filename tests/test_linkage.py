@@ -205,6 +205,7 @@ SMALL_PLANS = {
     "batch_totals": 150_000,  # 456,722 before
     "candidate_quality": 100_000,  # 232,699 before
     "entity_f05": 100_000,  # 225,209 before
+    "first_n_examples": 60_000,  # 218,424 before
     "submission_checks": 400_000,  # 2,668,622 before
 }
 
@@ -241,3 +242,8 @@ def test_hot_key_is_counted(hot):
     entities, truth, cands = hot
     e = {r.q_id: tuple(r)[1:4] for r in metrics.per_entity(entities, truth, cands).where("predicted > 0").collect()}
     assert e == {"S1-1": (20_000, 2, 1), "S1-7": (20_000, 1, 1)}
+
+
+def test_wrong_pairs(hot):
+    _, truth, cands = hot
+    assert [tuple(r) for r in metrics.first_examples(metrics.wrong_pairs(truth, cands), "fp").collect()] == [("S1-1", "S2-20000")]
