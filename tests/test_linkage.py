@@ -206,6 +206,7 @@ SMALL_PLANS = {
     "candidate_quality": 100_000,  # 232,699 before
     "entity_f05": 100_000,  # 225,209 before
     "first_n_examples": 60_000,  # 218,424 before
+    "prediction_metrics": 100_000,  # 237,172 before
     "submission_checks": 400_000,  # 2,668,622 before
 }
 
