@@ -208,6 +208,7 @@ SMALL_PLANS = {
     "first_n_examples": 60_000,  # 218,424 before
     "prediction_metrics": 100_000,  # 237,172 before
     "prediction_metrics_all": 100_000,  # 236,665 before
+    "prediction_report": 150_000,  # 1,170,871 before
     "submission_checks": 400_000,  # 2,668,622 before
 }
 
