@@ -209,6 +209,7 @@ SMALL_PLANS = {
     "prediction_metrics": 100_000,  # 237,172 before
     "prediction_metrics_all": 100_000,  # 236,665 before
     "prediction_report": 150_000,  # 1,170,871 before
+    "validation_score": 120_000,  # 242,800 before
     "submission_checks": 400_000,  # 2,668,622 before
 }
 
