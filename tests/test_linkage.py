@@ -210,6 +210,7 @@ SMALL_PLANS = {
     "prediction_metrics_all": 100_000,  # 236,665 before
     "prediction_report": 150_000,  # 1,170,871 before
     "validation_score": 120_000,  # 242,800 before
+    "evaluation_checks": 200_000,  # 3,425,013 before
     "submission_checks": 400_000,  # 2,668,622 before
 }
 
