@@ -252,3 +252,8 @@ def test_hot_key_is_counted(hot):
 def test_wrong_pairs(hot):
     _, truth, cands = hot
     assert [tuple(r) for r in metrics.first_examples(metrics.wrong_pairs(truth, cands), "fp").collect()] == [("S1-1", "S2-20000")]
+
+
+def test_training_summary_of_nothing(spark):
+    """As in SQL, a sum of nothing is null."""
+    assert tuple(model.training_summary(spark.createDataFrame([], "label int")).first()) == (0, None, None)
