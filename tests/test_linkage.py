@@ -1,6 +1,7 @@
 """Unit cases, parity of every catalogue query with its SQL, and metric invariants."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,6 +108,44 @@ def test_similarities():
     assert S.token_set_ratio("", "a") == 0
 
 
+def test_ratios_are_the_plain_ones(spark):
+    """The JVM function against its definition in Python; strings of more than one and more than four words, of few letters."""
+    rng = random.Random(7)
+    vocabulary = ["".join(rng.choices("abc7", k=rng.randrange(1, 9))) for _ in range(40)]
+    some = lambda: " ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 2, 15, 90])))
+    pairs = [(some(), some()) for _ in range(500)]
+    pairs += [(a, a) for a, _ in pairs[:20]] + [(a, f"{a} x") for a, _ in pairs[:20]] + [(" ".join(reversed(a.split())), a) for a, _ in pairs[:40]]
+    pairs += [("a" * n, "a" * m + "b") for n in (63, 64, 65, 128) for m in (1, 63, 64, 127)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    for r in df.select("i", S.ratios(F.col("a"), F.col("b")).alias("r"), S.ratios(F.col("a"), F.col("b"), False).alias("s")).collect():
+        a, b = pairs[r.i]
+        want = (S.ratio(a, b), S.token_sort_ratio(a, b), S.token_set_ratio(a, b)) if a and b else (0, 0, 0)
+        assert tuple(r.r) == want and tuple(r.s) == (*want[:2], None), (a, b)
+
+
+def test_long_pairs_are_compared_in_time(spark):
+    """Twenty pairs of long texts in one task take less than ten such pairs take the plain functions."""
+    rng = random.Random(8)
+    text = lambda: " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(6_000))
+    pairs = [(text(), text()) for _ in range(20)]
+    df = spark.createDataFrame(pairs, "a string, b string").repartition(1).cache()
+    assert df.count() == 20
+    began = time.time()
+    want = [f(*pairs[0]) for f in (S.ratio, S.token_sort_ratio, S.token_set_ratio)]
+    one, began = time.time() - began, time.time()
+    got = {tuple(r.r) for r in df.select(S.ratios(F.col("a"), F.col("b")).alias("r")).collect()}
+    assert tuple(want) in got and len(got) == 20 and time.time() - began < 10 * one
+
+
+def test_fit_and_score_is_train_then_predict(spark, sf_dir):
+    s = catalog.Setting(spark, sf_dir, "docs")
+    cands = s.candidates()
+    fitted, _ = linkage.train(cands, s.links, s.s1, s.targets)
+    as_rows = lambda df: {(r.q_id, r.t_id, r["rank"]): r.prob for r in df.collect()}
+    two, one = as_rows(linkage.predict(fitted, cands, s.s1, s.targets)), as_rows(linkage.fit_and_score(cands, s.links, s.s1, s.targets))
+    assert one and one == {k: pytest.approx(p, abs=1e-6) for k, p in two.items()}
+
+
 def test_metric_invariants(spark, duck, sf_dir):
     s = catalog.Setting(spark, sf_dir, "docs")
     cands = s.candidates()
