@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, id_text, small_batches, text_bytes
+from .common import chunks, id_text, releasing, small_batches, text_bytes
 
 #: Families of ISO 639-1 codes; a code that isn't here is a family of its own.
 FAMILIES = {
@@ -180,7 +180,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, lang_col: str = "la
             found = [(i.tobytes(), v.tobytes()) for i, v in shares(b.column("text").to_pylist())]
             yield pa.record_batch([b.column("lang"), b.column("h"), *(pa.array([x[k] for x in found], pa.binary()) for k in (0, 1))], names=["lang", "h", "idx", "val"])
 
-    got = picked.mapInArrow(sparse, "lang string, h long, idx binary, val binary").toArrow().sort_by([("lang", "ascending"), ("h", "ascending")])
+    got = picked.mapInArrow(releasing(sparse), "lang string, h long, idx binary, val binary").toArrow().sort_by([("lang", "ascending"), ("h", "ascending")])
     x = np.zeros((got.num_rows, DIM), np.float32)
     for r, (i, v) in enumerate(zip(got["idx"], got["val"], strict=True)):
         x[r, np.frombuffer(i.as_buffer(), "<i4")] = np.frombuffer(v.as_buffer(), "<f4")
@@ -192,7 +192,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, lang_col: str = "la
 def _predict(model: Model, col: pa.Array) -> tuple[list[str], list[float]]:
     _, off = text_bytes(col)
     texts, lang, score = col.to_pylist(), [], []
-    for i, j in chunks(off, 1 << 20):
+    for i, j in chunks(off):
         a, s = model.predict([t or "" for t in texts[i:j]])
         lang += a
         score += s
@@ -211,7 +211,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             yield pa.record_batch([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     base = id_text(docs, id_col, text_col)
-    return base.mapInArrow(predict, "doc_id long, lang_pred string, score double")
+    return base.mapInArrow(releasing(predict), "doc_id long, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.0) -> DataFrame:
@@ -227,4 +227,4 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least
                 lang = ["any" if t is not None and any(map(str.isalpha, t)) else "und" for t in b.column(at).to_pylist()]
             yield b.filter(pa.array([v != "und" and s >= least for v, s in zip(lang, score, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(releasing(keep), docs.schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, connected_components, id_text, materialise, mix, occurrence, rolling, text_bytes, words
+from .common import chunks, connected_components, id_text, materialise, mix, occurrence, releasing, rolling, text_bytes, words
 
 GRAM, LEAST, SKETCHES, TAKE = 5, 0.8, 14, 4
 #: Texts of up to this many shingles are also met with what they are less one shingle: any pair
@@ -270,7 +270,7 @@ def _shrink(nodes: DataFrame, words_of: DataFrame, least: float, rounds: int) ->
         right = copies.join(words_of.toDF("v", "right"), "v").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
         left = picked.join(copies, "v").withColumn("copy", F.pmod(F.xxhash64("u"), F.col("copies")).cast("int")).drop("copies")
         pairs = left.join(words_of.toDF("u", "left"), "u").join(right, ["v", "copy"]).sortWithinPartitions("v")
-        new = materialise(pairs.select("u", "v", "left", "right").mapInArrow(_compare(least, GRAM), "u long, v long"), "omh-stars")
+        new = materialise(pairs.select("u", "v", "left", "right").mapInArrow(releasing(_compare(least, GRAM)), "u long, v long"), "omh-stars")
         if new.isEmpty():
             break
         links = new if links is None else links.unionByName(new)
@@ -325,7 +325,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     base = id_text(docs, id_col, text_col)
     base = base.withColumn("text_key", F.xxhash64("text"))
-    rows = materialise(base.mapInArrow(_sketches(sketches, take), "doc_id long, node long, keys array<long>, text_key long, few array<long>"), "omh-rows")
+    rows = materialise(base.mapInArrow(releasing(_sketches(sketches, take)), "doc_id long, node long, keys array<long>, text_key long, few array<long>"), "omh-rows")
     # classes of equal word sequences; what follows sees each once
     classes = rows.where("node is not null").groupBy("node").agg(F.first("keys").alias("keys"), F.min("doc_id").alias("least_id"))
     keyed = classes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
@@ -334,7 +334,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blocks = materialise(connected_components(stars).withColumnRenamed("component", "block"), "omh-blocks")
     sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     sized = blocks.join(sizes, "block")
-    seqs = base.mapInArrow(_sequences, "node long, words binary")
+    seqs = base.mapInArrow(releasing(_sequences), "node long, words binary")
     large = materialise(sized.where(F.col("n") > SLICE).select("node"), "omh-large")
     known = sized.where(F.col("n") <= SLICE).join(classes.select("node", "keys"), "node").select(
         "node", F.lit(False).alias("by_key"), "block", "keys", F.col("node").alias("comp"), F.lit(0).alias("slice"), F.lit(1).alias("meets"))

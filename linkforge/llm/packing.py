@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, materialise
+from .common import id_text, materialise, releasing
 
 CAPACITY = 2048
 #: Rounds of multiplicative weights, and solutions of the program (the first of all pieces, the next of what
@@ -269,7 +269,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     """
     pieces = materialise(
         id_text(docs, id_col, text_col)
-        .mapInArrow(_cutter(capacity, end_id), PIECES), "pieces")
+        .mapInArrow(releasing(_cutter(capacity, end_id)), PIECES), "pieces")
     by_part = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     # a rank is the place among the pieces of a length: those of earlier partitions, then its own
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

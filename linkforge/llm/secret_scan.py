@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, small_batches
+from .common import id_text, releasing, small_batches
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -257,7 +257,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"])
 
     base = id_text(docs, id_col, text_col)
-    return base.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long")
+    return base.mapInArrow(releasing(run), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long")
 
 
 def redact_docs(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", paths: tuple[str, ...] | None = None) -> DataFrame:
@@ -281,4 +281,4 @@ def redact_docs(docs: DataFrame, text_col: str = "text", chars_col: str = "n_cha
                 cols[count] = pa.array([w if a is c or a == c else len(c) for a, c, w in zip(old, new, was, strict=True)], b.schema.field(count).type)
             yield pa.record_batch(cols, schema=b.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)

@@ -652,6 +652,31 @@ def test_aligned_is_exact():
         assert order_minhash.similar(np.array(a, np.uint64), np.array(b, np.uint64)) == (sim >= 0.8 - 1e-9)
 
 
+def test_workers_stay_small():
+    """A batch of 8 MB (what ``small_batches`` allows) takes a Python worker few bytes more, and leaves few with it."""
+    import tracemalloc
+
+    r = random.Random(3)
+    texts = [" ".join(f"w{r.randrange(5000)}" for _ in range(350)) for _ in range(4000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(4000)), "text": pa.array(texts), "text_key": pa.array(range(4000))})
+    model = language_id.Model(np.zeros((3, language_id.DIM), np.float32), ["en", "de", "fr"])
+
+    def identified(batches):
+        for b in batches:
+            language_id._predict(model, b.column(1))
+            yield b
+
+    common._powers.clear()
+    for run in (order_minhash._sketches(14, 4), order_minhash._sequences, identified):
+        tracemalloc.start()
+        try:
+            n = sum(b.num_rows for b in run(iter([batch])))
+            left, most = tracemalloc.get_traced_memory()
+        finally:
+            tracemalloc.stop()
+        assert n and most < 40e6 and left < 15e6
+
+
 @pytest.mark.parametrize("few", [10**6, 0])
 def test_components(spark, monkeypatch, few):
     monkeypatch.setattr(common, "FEW_LINKS", few)
