@@ -10,7 +10,7 @@ from linkforge.functions import normalize as N
 from linkforge.functions import similarity as S
 from linkforge.operators import audit, blocking, features, metrics, model, split
 from linkforge.operators.truth import KeyTruth
-from linkforge.plans import catalog, linkage, oracle
+from linkforge.plans import adapters, catalog, linkage, oracle
 from linkforge.sources import tables
 
 
@@ -123,6 +123,46 @@ def test_ratios_are_the_plain_ones(spark):
         assert tuple(r.r) == want and tuple(r.s) == (*want[:2], None), (a, b)
 
 
+def test_text_functions_are_the_plain_ones(spark):
+    """The JVM functions of whole texts against the column expressions that define them: every character, and made-up texts."""
+    chars = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    rng = random.Random(9)
+    words = ["st", "co", "LTD", "Road", "Straße", "naïve", "o\u0301", "12", "1234567", "007", "&", "a&b", "Ｆｕｌｌ", "𝐀𝐁1", "李", "-", ".", "\u3000", "inc", "abcde", "abcdf", "dr"]
+    texts = [None, "", " ", "one", *(" ".join(rng.choices(words, k=rng.randrange(1, 60))) for _ in range(300))]
+    texts += ["".join(f"a{c}b " for c in chars[i:i + 5000]) for i in range(0, len(chars), 5000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(4)
+    t, block, pair = N.raw_tokens(F.col("t")), N.tokens(F.col("t"), N.BLOCK_ALIASES), N.tokens(F.col("t"), N.PAIR_ALIASES)
+    half = F.ceil(F.size(t) / 2).cast("int")
+    want = df.select(
+        "i", F.array_join(F.slice(t, F.lit(1), half), " "), F.array_join(F.slice(t, half + 1, F.size(t)), " "), N.selected(block, N.LEGAL, 4), N.first_number(block),
+        F.array_join(pair, " "), F.try_element_at(F.filter(pair, lambda x: x.isin(N.LEGAL)), F.lit(-1)), N.first_number(pair), F.array_distinct(F.filter(pair, N.is_number)))
+    h, v, p = N.halves(F.col("t")), N.viewed(F.col("t"), N.LEGAL, 4), N.profiled(F.col("t"))
+    got = df.select("i", h.alias("h"), v.alias("v"), p.alias("p")).select("i", "h.name", "h.address", "v.best", "v.num", "p.clean", "p.legal", "p.house", "p.nums")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_name_gate_drops_pairs_early(spark):
+    """Pairs of the gate alone are those that name_ok keeps of all features, with equal features."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randrange(2, 14))) for _ in range(60)]
+    name = lambda: " ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 3, 12, 40])))
+    sides = [[(f"{s}-{i}", (name(), name(), "US")) for i in range(60)] for s in ("S1", "S2")]
+    cands = spark.createDataFrame([(f"S1-{i}", f"S2-{j}", j + 1) for i in range(60) for j in range(60)], "q_id string, t_id string, rank int")
+    pairs = features.with_profiles(cands, *[N.profile(entity(spark, *s)) for s in sides])
+    of = lambda df: sorted(map(tuple, df.select("q_id", "t_id", *features.FEATURES).collect()))
+    every = features.pair_features(pairs)
+    kept = of(every.where(features.name_ok()))
+    assert of(features.pair_features(pairs, F.lit(True))) == kept and 0 < len(kept) < 3600
+    assert of(features.pair_features(pairs, F.col("rank") > 30)) == of(every.where(features.name_ok() | (F.col("rank") <= 30)))
+
+
+def test_documents_need_no_python_workers(spark, sf_dir):
+    s = catalog.Setting(spark, sf_dir, "docs")
+    for df in (adapters.document_entities(spark, sf_dir), N.record_view(s.entities.drop("country").withColumn("country", F.lit("x"))), N.profile(s.entities.drop("country").withColumn("country", F.lit("x")))):
+        plan = df.select([c for c in df.columns if c != "ctry"])._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "ArrowEval" not in plan
+
+
 def test_long_pairs_are_compared_in_time(spark):
     """Twenty pairs of long texts in one task take less than ten such pairs take the plain functions."""
     rng = random.Random(8)
