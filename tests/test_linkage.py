@@ -202,6 +202,23 @@ def test_fit_and_score_is_train_then_predict(spark, sf_dir):
     assert one and one == {k: pytest.approx(p, abs=1e-6) for k, p in two.items()}
 
 
+def test_fit_and_score_fits_on_all_candidates(spark, monkeypatch):
+    """More entities than ``train`` takes, and one with more negatives than it takes: each pair is trained on."""
+    n, more = 14_020, 40
+    s1 = entity(spark, *[(f"S1-{i}", (f"shop {i}", f"{i} main st", "US")) for i in range(n)])
+    targets = entity(spark, *[(f"S2-{i}", (f"shop {i}", f"{i + i % 2} main st", "US")) for i in range(n)])
+    pairs = [(f"S1-{i}", f"S2-{i}", 1) for i in range(n)] + [("S1-7", f"S2-{100 + i}", 2 + i) for i in range(more)]
+    cands = spark.createDataFrame(pairs, "q_id string, t_id string, rank int")
+    truth = spark.createDataFrame([(f"S1-{i}", f"S2-{i}") for i in range(0, n, 2)], "q_id string, t_id string")
+    seen = []
+    monkeypatch.setattr(model, "fit", lambda data, kind: seen.append(data))
+    monkeypatch.setattr(model, "score", lambda _, pairs: pairs)
+    scored = linkage.fit_and_score(cands, truth, s1, targets)
+    assert (seen[0].count(), seen[0].where("label = 1").count()) == (n + more, n // 2)
+    assert sorted(r.q_id for r in seen[0].select("q_id").collect()) == sorted(q for q, _, _ in pairs)
+    assert scored.where("rank = 1").count() == n // 2  # others have another house number
+
+
 def test_metric_invariants(spark, duck, sf_dir):
     s = catalog.Setting(spark, sf_dir, "docs")
     cands = s.candidates()
